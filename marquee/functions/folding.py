@@ -18,6 +18,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SEPARATOR = "\n"
 NON_ASCII = r"[^\x00-\x7F]"
 
 
@@ -60,7 +61,11 @@ def _char_class(chars: Iterable[str]) -> str:
 def fold_text(col: Column) -> Column:
     """Folded search key of a text. Plain ASCII rows skip all of the Unicode work."""
     single, vanish, several = fold_tables()
-    expansions = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    # Two literals that fold into one constant map keep the plan small.
+    expansions = F.map_from_arrays(
+        F.split(F.lit(SEPARATOR.join(several)), SEPARATOR),
+        F.split(F.lit(SEPARATOR.join(several.values())), SEPARATOR),
+    )
     plain = F.translate(col, "".join(single) + vanish, "".join(single.values()))
     expanded = F.array_join(
         F.transform(

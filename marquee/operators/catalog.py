@@ -126,6 +126,13 @@ def add_cast(base: DataFrame, pivot: DataFrame, key: str = "tconst") -> DataFram
     return base.join(pivot, key, "left")
 
 
+def _numbered_refs(name: str) -> Column:
+    return F.transform(
+        F.coalesce(F.col(name).cast("array<string>"), F.array().cast("array<string>")),
+        lambda x, i: F.struct(F.lit(name).alias("list"), i.alias("pos"), x.alias("ref")),
+    )
+
+
 def resolve_names(
     df: DataFrame,
     names: DataFrame,
@@ -148,19 +155,7 @@ def resolve_names(
     lists = df.select(
         *[c for c in df.columns if c not in cols], *[as_list[c].alias(c) for c in cols]
     )
-    tagged = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.coalesce(F.col(c), F.array().cast("array<string>")),
-                    lambda x, i, c=c: F.struct(
-                        F.lit(c).alias("list"), i.alias("pos"), x.cast("string").alias("ref")
-                    ),
-                )
-                for c in cols
-            ]
-        )
-    )
+    tagged = F.flatten(F.array(*[_numbered_refs(c) for c in cols]))
     refs = lists.select(*keys, F.explode(tagged).alias("e")).select(*keys, "e.*")
     people = (
         names.filter(F.col(person).isNotNull())

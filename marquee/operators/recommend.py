@@ -54,6 +54,12 @@ def _draw(seed: int | str, user: str, total: Column) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") % total
 
 
+def _as_set(genres: Column) -> Column:
+    """Sorted distinct genres; null as empty."""
+    names = F.coalesce(genres, F.array().cast("array<string>"))
+    return F.array_sort(F.array_distinct(F.array_compact(names)))
+
+
 def surprise_documentary(
     catalog: DataFrame, users: DataFrame, seed: int | str = 42, id_col: str = "id"
 ) -> DataFrame:
@@ -67,42 +73,25 @@ def surprise_documentary(
     """
     docs = number_in_group(
         documentaries(catalog).select(
-            F.col(id_col).alias("item_id"),
-            F.array_join(F.array_sort(F.array_distinct(F.array_compact("genres"))), "|").alias(
-                "genre_list"
-            ),
+            F.col(id_col).alias("item_id"), _as_set(F.col("genres")).alias("genre_list")
         ),
         "genre_list",
         "item_id",
     )
     lists = docs.groupBy("genre_list").agg(F.count(F.lit(1)).alias("n"))
-    themes = lists.select(
-        "genre_list", "n", F.explode(F.split("genre_list", r"\|")).alias("theme")
-    )
-    asked = users.select(
-        "user_id",
-        F.array_join(
-            F.array_sort(
-                F.array_distinct(
-                    F.array_compact(
-                        F.coalesce("doc_genres_pref", F.array().cast("array<string>"))
-                    )
-                )
-            ),
-            "|",
-        ).alias("prefs"),
-    )
+    themes = lists.select("genre_list", "n", F.explode("genre_list").alias("theme"))
+    asked = users.select("user_id", _as_set(F.col("doc_genres_pref")).alias("prefs"))
     sets = asked.select("prefs").distinct()
     matches = (
-        sets.select("prefs", F.explode(F.split("prefs", r"\|")).alias("theme"))
+        sets.select("prefs", F.explode("prefs").alias("theme"))
         .join(themes, "theme")
         .select("prefs", "genre_list", "n")
         .distinct()
     )
     anything = (
         sets.join(matches, "prefs", "left_anti")
-        .withColumn("all", F.lit(True))
-        .join(lists.withColumn("all", F.lit(True)), "all")
+        .withColumn("theme", F.lit("Documentary"))
+        .join(themes, "theme")
         .select("prefs", "genre_list", "n")
     )
     running = Window.partitionBy("prefs").orderBy("genre_list")
