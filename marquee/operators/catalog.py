@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import concat_lists, parse_literal_list, split_list, to_long
+from marquee.session import landed
+from marquee.sizing import broadcast_if_small
 from marquee.sources.schemas import CATALOG
 
 # Credit categories, kept languages, unused enrichment columns.
@@ -74,20 +76,24 @@ def _page_of_large_groups(
     """Number the slices of groups with more than ``page_size`` rows; others get 0.
 
     Slices are equal ranges of ``ordering``, so every row of one page comes before
-    every row of the next, and no page needs the whole group in one task.
+    every row of the next, and no page needs the whole group in one task. There is at
+    most one large group per ``page_size`` rows; the list of them is written once,
+    measured, and broadcast while small, so ordinary rows are not shuffled to learn
+    their page.
     """
-    large = (
+    large = landed(
         df.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min(ordering).alias("_lo"),
             F.max(ordering).alias("_hi"),
         )
-        .filter(F.col("_n") > page_size)
+        .filter(F.col("_n") > page_size),
+        "large-groups",
     )
     span = F.col("_hi") - F.col("_lo") + 1
     page = F.floor((F.col(ordering) - F.col("_lo")) * F.ceil(F.col("_n") / page_size) / span)
-    return df.join(large, keys, "left").select(
+    return df.join(broadcast_if_small(large), keys, "left").select(
         *df.columns, F.coalesce(page, F.lit(0)).cast("bigint").alias("page")
     )
 

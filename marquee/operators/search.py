@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from marquee.functions import duration_bucket, fold_text, is_wanted, random_order
 from marquee.operators.titles import first_per_key
+from marquee.session import landed
 from marquee.sizing import broadcast_if_small
 
 
@@ -129,7 +130,7 @@ def title_search(
     )
     indexed = entries.withColumn(
         "gram",
-        F.explode(
+        F.explode_outer(
             F.concat(
                 *[
                     F.coalesce(_grams(F.col("key"), size), F.array().cast("array<string>"))
@@ -137,8 +138,8 @@ def title_search(
                 ]
             )
         ),
-    )
-    probes = asked.join(_probe_grams(asked, indexed, gram_size), "query_id")
+    ).filter(F.col("gram").isNotNull())
+    probes = landed(asked.join(_probe_grams(asked, indexed, gram_size), "query_id"), "probes")
     tier = (
         F.when(F.col("key") == F.col("q_key"), 1)
         .when(F.col("key").startswith(F.col("q_key")), 2)

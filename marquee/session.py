@@ -47,17 +47,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later plans start from files, lost executors are harmless."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
-    Unlike a checkpoint the result is columnar, so later plans read only the
-    columns they use.
+    Cuts the lineage: later plans start from files, so lost executors cost a re-read
+    and not a re-run. Unlike a checkpoint the result is columnar, and later plans read
+    only the columns they use.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
