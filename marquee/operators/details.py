@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions import canonical_id, image_url, truncate, year_text
+from marquee.functions import canonical_id, image_url, to_long, truncate, year_text
 
 NO_OVERVIEW = "Aucun résumé."
 
 
+def numeric_ids(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows whose id is a number, with the id in canonical form; others have no details."""
+    known = df.filter(to_long(F.col(id_col).cast("string")).isNotNull())
+    return known.withColumn(id_col, canonical_id(F.col(id_col)))
+
+
 def flatten(
     details: DataFrame,
     credits: DataFrame,

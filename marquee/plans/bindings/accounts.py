@@ -305,3 +305,16 @@ def film_details(t: Tables) -> DataFrame:
     return shown.withColumns(
         {c: F.array_join(c, ",") for c in ("directors", "actors")}
     )
+
+
+@query(
+    """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name FROM customer WHERE c_nationkey % 3 <> 0
+"""
+)
+def numeric_ids(t: Tables) -> DataFrame:
+    """Customers of every third nation have an id that is no number."""
+    mixed = F.when(F.col("c_nationkey") % 3 == 0, F.col("c_name")).otherwise(
+        F.concat("c_custkey", F.lit(".0"))
+    )
+    return details.numeric_ids(t.customer.select(mixed.alias("id"), "c_name"))

@@ -87,6 +87,11 @@ def test_onboarded(spark, rows):
     assert rows(users.onboarded(df)) == [("a", 5)]
 
 
+def test_numeric_ids(spark, rows):
+    df = spark.createDataFrame([("12.0",), ("x",), (None,), (" 7",)], "id string")
+    assert rows(details.numeric_ids(df)) == [("12",), ("7",)]
+
+
 def test_details(spark):
     films = spark.createDataFrame(
         [

@@ -72,6 +72,34 @@ def test_model_beats_the_mean_and_survives_a_save(spark, tmp_path):
     assert abs(factors.predict(model, unknown).first()["prediction"] - mean) < 1e-9
 
 
+def test_hot_items_are_split_without_losing_accuracy(spark):
+    """Two items are rated by everybody; with 120 ratings per task each is trained in
+    three shares. Ids are texts."""
+    rng = np.random.default_rng(1)
+    p, q = rng.normal(size=(300, 2)), rng.normal(size=(40, 2))
+    data = spark.createDataFrame(
+        [
+            (f"u{u}", f"i{i}", float(np.clip(3 + p[u] @ q[i], 0.5, 5)))
+            for u in range(300)
+            for i in range(40)
+            if i < 2 or rng.random() < 0.3
+        ],
+        "user_id string, item_id string, rating double",
+    )
+    train, test = factors.split(data)
+    counts = [r["n"] for r in train.groupBy("item_id").agg(F.count("*").alias("n")).collect()]
+    assert sum(n > 120 for n in counts) == 2
+    hot = test.filter(F.col("item_id").isin("i0", "i1"))
+    rmse = {}
+    for size in (1000, 120):
+        model = factors.train_cf(train, rank=3, iterations=8, reg=0.05, per_index=size)
+        assert model.items.count() == 40 and model.users.count() == 300
+        for name, part in (("all", test), ("hot", hot)):
+            rmse[size, name] = factors.evaluate(factors.predict(model, part)).first()["rmse"]
+    assert rmse[120, "all"] < 1.2 * rmse[1000, "all"]
+    assert rmse[120, "hot"] < 1.5 * rmse[1000, "hot"]
+
+
 def test_top_unseen_is_the_best_of_all_predictions(spark):
     rated = planted(spark, 12, 15)
     model = factors.train_cf(rated, rank=3, iterations=4)
