@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import concat_lists, parse_literal_list, split_list, to_long
-from marquee.session import landed
-from marquee.sizing import broadcast_if_small
+from marquee.sizing import settle
 from marquee.sources.schemas import CATALOG
 
 # Credit categories, kept languages, unused enrichment columns.
@@ -81,7 +80,7 @@ def _page_of_large_groups(
     measured, and broadcast while small, so ordinary rows are not shuffled to learn
     their page.
     """
-    large = landed(
+    large = settle(
         df.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_n"),
@@ -93,7 +92,7 @@ def _page_of_large_groups(
     )
     span = F.col("_hi") - F.col("_lo") + 1
     page = F.floor((F.col(ordering) - F.col("_lo")) * F.ceil(F.col("_n") / page_size) / span)
-    return df.join(broadcast_if_small(large), keys, "left").select(
+    return df.join(large, keys, "left").select(
         *df.columns, F.coalesce(page, F.lit(0)).cast("bigint").alias("page")
     )
 
@@ -162,7 +161,11 @@ def resolve_names(
         *[c for c in df.columns if c not in cols], *[as_list[c].alias(c) for c in cols]
     )
     tagged = F.flatten(F.array(*[_numbered_refs(c) for c in cols]))
-    refs = lists.select(*keys, F.explode(tagged).alias("e")).select(*keys, "e.*")
+    refs = (
+        lists.select(*keys, F.explode_outer(tagged).alias("e"))
+        .filter(F.col("e").isNotNull())
+        .select(*keys, "e.*")
+    )
     people = (
         names.filter(F.col(person).isNotNull())
         .groupBy(F.col(person).cast("string").alias("ref"))

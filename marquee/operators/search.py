@@ -8,8 +8,7 @@ from pyspark.sql.window import Window
 
 from marquee.functions import duration_bucket, fold_text, is_wanted, random_order
 from marquee.operators.titles import first_per_key
-from marquee.session import landed
-from marquee.sizing import broadcast_if_small
+from marquee.sizing import settle
 
 
 def list_contains(column: str, value: str) -> Column:
@@ -96,7 +95,7 @@ def _probe_grams(queries: DataFrame, titles: DataFrame, gram_size: int) -> DataF
             )
         ).alias("gram"),
     )
-    wanted = broadcast_if_small(offered.select("gram").distinct())
+    wanted = settle(offered.select("gram").distinct(), "query-grams")
     counts = titles.join(wanted, "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rarity = F.struct(F.coalesce(F.col("n"), F.lit(0)), F.col("gram"))
     return (
@@ -139,14 +138,14 @@ def title_search(
             )
         ),
     ).filter(F.col("gram").isNotNull())
-    probes = landed(asked.join(_probe_grams(asked, indexed, gram_size), "query_id"), "probes")
+    probes = settle(asked.join(_probe_grams(asked, indexed, gram_size), "query_id"), "probes")
     tier = (
         F.when(F.col("key") == F.col("q_key"), 1)
         .when(F.col("key").startswith(F.col("q_key")), 2)
         .when(F.col("key").contains(F.col("q_key")), 3)
     )
     matches = (
-        indexed.join(broadcast_if_small(probes), "gram")
+        indexed.join(probes, "gram")
         .withColumn("tier", tier)
         .filter(F.col("tier").isNotNull())
     )
@@ -171,5 +170,5 @@ def lookup_title(
     ``titles`` has ``query_id`` and ``query``.
     """
     asked = titles.select("query_id", F.lower(F.trim("query")).alias("_asked"))
-    hits = catalog.join(asked, F.lower(F.col(title)) == F.col("_asked"))
+    hits = catalog.join(settle(asked, "titles"), F.lower(F.col(title)) == F.col("_asked"))
     return first_per_key(hits, ["query_id"], [row_order]).drop("_asked")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import landed
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -23,6 +25,12 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if serialized_bytes(df) <= max_bytes else df
 
 
+def settle(df: DataFrame, name: str, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Write a side that is expected to be small once, measure it, and hint a broadcast
+    if it is; measuring and joining then read the result instead of computing it twice."""
+    return broadcast_if_small(landed(df, name), max_bytes)
+
+
 def block_count(df: DataFrame, rows_per_block: int) -> Column:
     """Number of blocks of about ``rows_per_block`` rows, as a scalar subquery."""
     return df.select(

@@ -98,7 +98,7 @@ def test_title_search_matches_list_form(spark):
 def test_title_search_with_shuffled_join(spark, monkeypatch):
     queries = spark.createDataFrame([("q", "alien")], "query_id string, query string")
     usual = search.title_search(films(spark), queries).collect()
-    monkeypatch.setattr(search, "broadcast_if_small", lambda df, max_bytes=0: df)
+    monkeypatch.setattr(search, "settle", lambda df, name: df.hint("merge"))
     assert sorted(search.title_search(films(spark), queries).collect()) == sorted(usual)
 
 
