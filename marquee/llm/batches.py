@@ -32,9 +32,8 @@ def slices(
 
 
 def strings(column: pa.Array) -> pa.Array:
-    """Texts as a string array that starts at offset 0, nulls as empty texts."""
-    filled = pc.fill_null(column.cast(pa.large_string()), "")
-    return pa.concat_arrays([filled])
+    """Texts as large strings, nulls as empty texts."""
+    return pc.fill_null(column.cast(pa.large_string()), "")
 
 
 def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

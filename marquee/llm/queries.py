@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import packing
+from marquee.llm import decontaminate, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,3 +34,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "benchmark"),
+        keep=["doc_id"],
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        F.transform("cuts", lambda c: F.concat_ws(":", c["start"], c["end"])).alias("cuts"),
+    )
