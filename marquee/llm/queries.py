@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, packing
+from marquee.llm import decontaminate, langid, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,3 +52,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"),
         F.transform("cuts", lambda c: F.concat_ws(":", c["start"], c["end"])).alias("cuts"),
     )
+
+
+def held_out() -> F.Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from the rows that aren't held out; a row without doc_id is in neither part."""
+    return langid.train(docs.filter(~held_out() & F.col("doc_id").isNotNull()))
+
+
+@query
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, language_model(docs), keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
