@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, langid, packing
+from marquee.llm import decontaminate, langid, linededup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,6 +18,10 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def sql(name: str, text: str) -> None:
+    SQL[name] = text
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -68,3 +72,44 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, language_model(docs), keep=["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+sql(
+    "op9_linededup",
+    r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)),
+bare AS (
+  SELECT *, lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS b
+  FROM lines),
+numbered AS (
+  SELECT doc_id, pos, b, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS j
+  FROM bare WHERE b <> ''),
+wins AS (
+  SELECT x.doc_id, x.j, {'a': x.b, 'b': y.b, 'c': z.b} AS w
+  FROM numbered x JOIN numbered y ON y.doc_id = x.doc_id AND y.j = x.j + 1
+  JOIN numbered z ON z.doc_id = x.doc_id AND z.j = x.j + 2),
+later AS (
+  SELECT doc_id, j FROM wins
+  QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, j) > 1),
+gone AS (SELECT DISTINCT doc_id, j + k AS j FROM later, (VALUES (0), (1), (2)) t(k)),
+gone_lines AS (SELECT n.doc_id, n.pos FROM numbered n JOIN gone g ON g.doc_id = n.doc_id AND g.j = n.j),
+shorter AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
+  FROM lines l ANTI JOIN gone_lines g ON g.doc_id = l.doc_id AND g.pos = l.pos GROUP BY l.doc_id),
+counted AS (SELECT doc_id, count(*) AS n FROM gone_lines GROUP BY doc_id)
+SELECT d.doc_id,
+  CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS n_lines,
+  coalesce(c.n, 0) AS n_removed,
+  CASE WHEN c.n IS NULL THEN d.text ELSE coalesce(s.text, '') END AS text
+FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id
+LEFT JOIN shorter s ON s.doc_id = d.doc_id
+""",
+)
