@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, langid, linededup, packing
+from marquee.llm import decontaminate, jaccard, langid, linededup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,3 +113,40 @@ FROM documents d LEFT JOIN counted c ON c.doc_id = d.doc_id
 LEFT JOIN shorter s ON s.doc_id = d.doc_id
 """,
 )
+
+
+@query
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
+sql(
+    "op8_jaccard",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS s
+  FROM words),
+numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingles),
+sizes AS (SELECT doc_id, count(*) AS n FROM numbered GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+  FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * m >= 90 * (x.n + y.n - m)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e.b, r.seen FROM reach r JOIN edges e ON e.a = r.node WHERE r.seen < e.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles,
+  least(d.doc_id, (SELECT min(seen) FROM reach WHERE node = d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+""",
+)
