@@ -308,3 +308,17 @@ def link(
         F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, *, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without all but one of each group of near duplicates.
+
+    The document of the lowest doc_id of a component stays, with all its columns. Texts
+    without words stay. Rows that share a doc_id count as one document: they stay or go
+    together. A row without doc_id stays, since nothing names it.
+    """
+    kept = docs.columns
+    groups = link(docs, width=width, num=num, den=den)
+    # Rows to drop are ids, not texts; most documents have no partner.
+    extra = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    return docs.join(extra.distinct(), "doc_id", "left_anti").select(*kept)

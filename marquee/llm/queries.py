@@ -26,10 +26,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@query
-def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"))
-    return pieces.select(
+def pieces(packed: DataFrame) -> DataFrame:
+    """Packed pieces with a checksum in place of their ids."""
+    return packed.select(
         "doc_id",
         "start",
         "length",
@@ -40,6 +39,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(packing.pack(table(spark, sf_dir, "documents")))
+
+
 @query
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(
