@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, jaccard, langid, linededup, packing
+from marquee.llm import decontaminate, jaccard, langid, linededup, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,3 +154,52 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles,
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """,
 )
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+sql(
+    "op3_quality",
+    r"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts),
+wins AS (
+  SELECT doc_id, unnest(range(len(w) - 2)) AS i,
+    unnest(list_transform(range(1, len(w) - 1), lambda k: w[k:k + 2])) AS s
+  FROM words WHERE len(w) >= 3),
+twice AS (SELECT doc_id, i FROM wins QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) t(k)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM texts)),
+full_lines AS (
+  SELECT doc_id, source, line, n, regexp_replace(lower(trim(line,
+    ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), '[0-9]', '0', 'g') AS key
+  FROM lines WHERE n > 0),
+dup_lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
+many AS (
+  SELECT source, key FROM full_lines GROUP BY source, key HAVING count(DISTINCT doc_id) > 100),
+removed AS (
+  SELECT f.doc_id, sum(f.n) AS n FROM full_lines f JOIN many m
+  ON m.key = f.key AND m.source IS NOT DISTINCT FROM f.source GROUP BY f.doc_id),
+counted AS (
+  SELECT t.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(d.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    coalesce(x.n, 0)::BIGINT AS n_removed
+  FROM texts t JOIN words USING (doc_id) LEFT JOIN dup_lines d ON d.doc_id = t.doc_id
+  LEFT JOIN repeated r ON r.doc_id = t.doc_id LEFT JOIN removed x ON x.doc_id = t.doc_id),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT *, NOT base_failed AND n_words - n_removed >= 50
+  AND 100 * (n_words - n_removed) >= 50 * n_words AS kept
+FROM judged
+""",
+)
