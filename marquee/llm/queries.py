@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, jaccard, langid, linededup, packing, quality
+from marquee.llm import decontaminate, jaccard, langid, linededup, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -203,3 +203,74 @@ SELECT *, NOT base_failed AND n_words - n_removed >= 50
 FROM judged
 """,
 )
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+
+    def of(*kinds: str) -> F.Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.spelled(of(*secrets.KINDS)), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+    )
+
+
+ASSIGN = (
+    r"""'(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?"""
+    r"([A-Za-z0-9+/_.=-]+)'"
+)
+sql(
+    "op10_secrets",
+    r"""
+WITH kinds(kind, rank, least) AS (VALUES ('assign', 1, 6), ('access', 2, 20), ('hex', 3, 24)),
+found AS (
+  SELECT doc_id, source, 'assign' AS kind, text, regexp_extract_all(text, P1) AS m,
+    regexp_extract_all(text, P1, 1) AS s, string_split_regex(text, P1) AS g FROM documents
+  UNION ALL SELECT doc_id, source, 'access', text, regexp_extract_all(text, P2),
+    regexp_extract_all(text, P2), string_split_regex(text, P2) FROM documents
+  UNION ALL SELECT doc_id, source, 'hex', text, regexp_extract_all(text, P3),
+    regexp_extract_all(text, P3), string_split_regex(text, P3) FROM documents),
+pieces AS (
+  SELECT doc_id, source, kind, unnest(range(len(m))) AS i, unnest(m) AS w, unnest(s) AS secret,
+    unnest(g[1:len(m)]) AS gap FROM found WHERE len(m) > 0),
+placed AS (
+  SELECT p.doc_id, p.source, p.kind, k.rank, secret, length(w) AS n, k.least,
+    sum(length(gap) + length(w)) OVER (PARTITION BY doc_id, p.kind ORDER BY i) AS stop
+  FROM pieces p JOIN kinds k ON k.kind = p.kind),
+base AS (
+  SELECT doc_id, source, kind, rank, secret, stop - n AS start, stop FROM placed
+  WHERE length(secret) >= least),
+owners AS (
+  SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n
+  FROM base GROUP BY secret),
+judged AS (
+  SELECT b.*, CASE WHEN o.n >= 3 THEN 'copied'
+    WHEN o.n = 1 AND len(list_distinct(string_split(b.secret, ''))) >= 8
+      AND regexp_matches(b.secret, '[0-9]') AND regexp_matches(b.secret, '[A-Za-z]')
+      AND NOT regexp_matches(lower(b.secret),
+        'example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345') THEN 'live' END AS verdict
+  FROM base b JOIN owners o ON o.secret = b.secret),
+spans AS (
+  SELECT doc_id, kind, rank, start, stop FROM judged
+  UNION SELECT doc_id, verdict, CASE verdict WHEN 'copied' THEN 4 ELSE 5 END,
+    stop - length(secret), stop FROM judged WHERE verdict IS NOT NULL),
+spelled AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c,
+    count(*) FILTER (kind = 'hex') AS x,
+    string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ',' ORDER BY start, rank, stop)
+      FILTER (rank <= 3) AS b,
+    string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ',' ORDER BY start, rank, stop)
+      AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(x, 0) AS n_hex,
+  sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN spelled s ON s.doc_id = d.doc_id
+""".replace("P1", ASSIGN)
+    .replace("P2", "'AKIA[A-Z0-9]+'")
+    .replace("P3", "'[0-9a-f]+'"),
+)
