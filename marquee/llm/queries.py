@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import decontaminate, jaccard, langid, linededup, packing, quality, secrets
+from marquee.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    langid,
+    linededup,
+    packing,
+    quality,
+    secrets,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -274,3 +283,33 @@ FROM documents d LEFT JOIN spelled s ON s.doc_id = d.doc_id
     .replace("P2", "'AKIA[A-Z0-9]+'")
     .replace("P3", "'[0-9a-f]+'"),
 )
+
+
+@query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
+sql(
+    "op4_chat",
+    r"""
+WITH placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id
+    ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)),
+whole AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS turns, count(*) AS n_turns
+  FROM placed GROUP BY conv_id),
+starts AS (
+  SELECT DISTINCT turns[1:k] AS turns
+  FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM whole)),
+kept AS (
+  SELECT min(conv_id) AS conv_id, n_turns FROM whole w
+  WHERE NOT EXISTS (SELECT 1 FROM starts s WHERE s.turns = w.turns) GROUP BY turns, n_turns)
+SELECT k.conv_id, k.n_turns, place // 256 AS part,
+  string_agg('<|im_start|>' || coalesce(role, 'unknown') || chr(10) || coalesce(text, '')
+    || '<|im_end|>', chr(10) ORDER BY place) AS text
+FROM placed p JOIN kept k ON k.conv_id = p.conv_id
+GROUP BY k.conv_id, k.n_turns, place // 256
+""",
+)
