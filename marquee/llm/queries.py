@@ -14,6 +14,7 @@ from marquee.llm import (
     langid,
     linededup,
     packing,
+    pii,
     quality,
     secrets,
 )
@@ -313,3 +314,18 @@ FROM placed p JOIN kept k ON k.conv_id = p.conv_id
 GROUP BY k.conv_id, k.n_turns, place // 256
 """,
 )
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def of(*kinds: str) -> F.Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.spelled(of(*pii.KINDS)), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
