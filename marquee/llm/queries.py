@@ -17,6 +17,7 @@ from marquee.llm import (
     pii,
     quality,
     secrets,
+    training_order,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,3 +330,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.spelled(of(*pii.KINDS)), 256).alias("base_sha256"),
         pii.spelled(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.order(table(spark, sf_dir, "documents"))
