@@ -31,8 +31,8 @@ def _hashes(lines: Column) -> Column:
 
 def _full(hashes: Column) -> Column:
     """Positions of the lines that aren't blank."""
-    every = F.sequence(F.lit(0), F.size(hashes) - 1)
-    return F.filter(every, lambda i: hashes[i].isNotNull())
+    placed = F.transform(hashes, lambda h, i: F.when(h.isNotNull(), i))
+    return F.filter(placed, lambda i: i.isNotNull())
 
 
 def windows(docs: DataFrame) -> DataFrame:
@@ -96,7 +96,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     covered = F.array_distinct(
         F.flatten(F.transform("_ats", lambda a: F.array(*[a + k for k in range(WIDTH)])))
     )
-    gone = F.transform(covered, lambda j: F.col("_full")[j])
+    # Mentioned twice, so that the optimiser doesn't put its expression into the lambda.
+    gone = F.transform(covered, lambda j: F.when(j < F.size("_full"), F.col("_full")[j]))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     shorter = F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n")
     touched = F.col("_ats").isNotNull()
