@@ -36,6 +36,21 @@ def strings(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+#: A-Z to a-z, every other byte as it is.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+
+
+def translated(texts: pa.Array, table: bytes) -> pa.Array:
+    """Large strings with every byte replaced as ``table`` says, which maps ASCII to ASCII
+    and leaves other bytes alone. (``ascii_lower`` misreads sliced arrays.)"""
+    _, offsets, data = texts.buffers()
+    own = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    changed = bytes(data[own[0] : own[-1]]).translate(table) if data else b""
+    return pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer((own - own[0]).tobytes()), pa.py_buffer(changed)
+    )
+
+
 def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Runs without ASCII white space of every text, one after the other, and how many
     each text has."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.batches import flat_words, slices, strings, without
+from marquee.llm.batches import flat_words, slices, strings, translated, without
 from marquee.session import landed
 
 WINDOW = 10
@@ -38,12 +38,7 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 def fold(texts: pa.Array) -> pa.Array:
     """A-Z in lower case, every other ASCII character but letters and digits a space."""
-    _, offsets, data = texts.buffers()
-    own = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    changed = bytes(data[own[0] : own[-1]]).translate(_WORD_BYTES) if data else b""
-    return pa.LargeStringArray.from_buffers(
-        len(texts), pa.py_buffer((own - own[0]).tobytes()), pa.py_buffer(changed)
-    )
+    return translated(texts, _WORD_BYTES)
 
 
 class Phrases:
