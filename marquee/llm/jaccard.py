@@ -3,14 +3,15 @@
 The sketch of a set has some lanes of 2**32 bits; every shingle flips one bit of one lane,
 so the bits, and all the more the lanes, in which two sketches differ are no more than the
 symmetric difference. A lane is kept as the XOR of its set bits' 64-bit images. Two sets
-that are similar enough differ in at most d shingles, d set by their size band; a sketch of
-d + 1 + s lanes then has 1 + s equal lanes at least, and sets meet where a lane is equal.
-Lanes with hardly any shingles say little: a set leaves its poorest ones out, s at most,
-by what is in them, so that equal lanes are left out on both sides or kept on both.
-
-Copies are one node from the start. Of each lane's sets one leads; all others are verified
-against their best leader, and only sets that are still in different components after that
-meet each other.
+of a size band that are similar enough differ in d lanes at most, d set by the smaller
+one. If each set shows d + 1 lanes, d from its own size, and all choose by the same order,
+then two such sets show an equal lane: they meet there. The order is fullest lane first,
+since lanes with hardly any shingles say little.
+
+Copies are one node from the start. Of each lane's sets the one that meets others most
+leads; all others are verified against their best leader. Only sets that are in different
+components after that meet each other, and of those only pairs are verified whose bit
+sketches' Hamming distance doesn't rule a link out already.
 """
 
 from __future__ import annotations
@@ -20,16 +21,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.batches import flat_words, slices, strings
+from marquee.llm.batches import LOWER, flat_words, slices, strings, translated
 from marquee.llm.graph import components
 from marquee.session import landed
 
 #: Bits of the filter that picks texts to read again; a bound on what is broadcast (1 MB).
 FILTER_BITS = 1 << 23
+#: A lane that HOT_ROWS of every SAMPLED-th node show is hot; the first HOT_KEYS of them
+#: are spread over the tasks.
+SAMPLED, HOT_ROWS, HOT_KEYS = 64, 32, 10_000
+
+#: Sets of a lane that are compared at a time; a lane of more is compared block by block.
+BLOCK = 1024
+#: Bits of a sketch: about four a shingle, up to this.
+SKETCH_BITS = 1 << 13
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -44,7 +52,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of the different shingles of every text: ``width`` words in a
     row, or all words of a text that has fewer."""
-    words, counts = flat_words(pc.ascii_lower(texts))
+    words, counts = flat_words(translated(texts, LOWER))
     if not len(words):
         return [np.zeros(0, np.uint64)] * len(counts)
     coded = words.dictionary_encode()
@@ -74,10 +82,31 @@ def fingerprint(shingles: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(shingles + _A)) + np.uint64(len(shingles)))
 
 
+def bit_sketch(shingles: np.ndarray) -> bytes:
+    """Parities of a power of two of bits; halves XORed together are a sketch of half the
+    bits, so sketches of any two sets can be compared."""
+    bits = min(SKETCH_BITS, max(64, 1 << (4 * len(shingles) - 1).bit_length()))
+    at = (mix(shingles + _B) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches of one length, a row of 64-bit words each."""
+    least = min(map(len, sketches)) // 8
+    out = np.empty((len(sketches), least), np.uint64)
+    for k, sketch in enumerate(sketches):
+        words = np.frombuffer(sketch, np.uint64)
+        while len(words) > least:
+            half = len(words) // 2
+            words = words[:half] ^ words[half:]
+        out[k] = words
+    return out
+
+
 class Bands:
     """Size bands and their lanes, for links where den * |A and B| >= num * |A or B|."""
 
-    def __init__(self, num: int, den: int, ratio: float = 1.5):
+    def __init__(self, num: int, den: int, ratio: float = 2.0):
         self.num, self.den = num, den
         edges = [-(-num // (den - num))]  # smaller sets link with equal ones only
         while edges[-1] < 1 << 40:
@@ -95,19 +124,23 @@ class Bands:
         near = np.searchsorted(self.edges, [size, size * self.den // self.num], side="right")
         return sorted(set((near - 1).tolist()))
 
-    def shape(self, band: int) -> tuple[int, int]:
-        """Lanes of a band, and how many poor ones may be left out."""
+    def lanes(self, band: int) -> int:
+        """Lanes of a band: what its sets may differ in, 1, and a seventh to choose from."""
         least = self.differ(int(self.edges[band + 1]) - 1) + 1
-        spare = -(-least // 7)
-        return least + spare, spare
+        return least + -(-least // 7)
 
     def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """Keys of the lanes of a sorted set, in all its bands."""
+        """Keys of the lanes that a sorted set shows, in all its bands.
+
+        Sets a and b of a band of m lanes have m - d equal ones at least, d what the smaller
+        may differ in. Had they no shown lane in common, the first of them in the order to
+        reach d + 1 lanes would have shown only lanes that differ.
+        """
         bits = mix((shingles & np.uint64(0xFFFFFFFF)) + _C)
         high = shingles >> np.uint64(32)
         out = []
         for band in self.of(len(shingles)):
-            lanes, spare = self.shape(band)
+            lanes = self.lanes(band)
             # The upper bits choose the lane, so lanes follow the order of the set.
             lane = (high * np.uint64(lanes) >> np.uint64(32)).astype(np.int64)
             filled = np.bincount(lane, minlength=lanes)
@@ -116,8 +149,8 @@ class Bands:
             parity[some] = np.bitwise_xor.reduceat(bits, (np.cumsum(filled) - filled)[some])
             place = mix(np.arange(lanes, dtype=np.uint64) + np.uint64((band + 1) << 40))
             key = mix(parity ^ place)
-            poor = next((t for t in (2, 1, 0) if np.count_nonzero(filled <= t) <= spare), -1)
-            out.append(key[filled > poor])
+            shown = np.lexsort((key, -filled))[: self.differ(len(shingles)) + 1]
+            out.append(key[shown])
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -155,7 +188,8 @@ def sketches(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
 
 
 def wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, shingles) of the ``nodes`` (node, doc_id), read from the texts again.
+    """(node, size, bits, shingles) of the ``nodes`` (node, doc_id), read from the texts
+    again: their sketches and whole sets.
 
     A filter of fixed size over the ids spares most other texts; the join is exact.
     """
@@ -183,12 +217,16 @@ def wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(found, pa.int64()),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([bit_sketch(s) for s in sets], pa.binary()),
                         pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["node", "shingles"],
+                    names=["node", "size", "bits", "shingles"],
                 )
 
-    read = docs.select("text", bit.alias("bit")).mapInArrow(run, "node long, shingles array<long>")
+    read = docs.select("text", bit.alias("bit")).mapInArrow(
+        run, "node long, size long, bits binary, shingles array<long>"
+    )
     return read.join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -207,18 +245,118 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     )
 
 
-def can_link(bands: Bands) -> F.Column:
-    """Sizes ``na`` and ``nb`` allow a link, and no fewer lanes are equal (``lanes``) than
-    the bound on the difference leaves, whichever band the pair met in."""
-    low, high = F.least("na", "nb"), F.greatest("na", "nb")
-    close = F.lit(bands.den) * low >= F.lit(bands.num) * high
-    edges = [int(e) for e in bands.edges if e < 1 << 31]
-    least = F.lit(1)
-    for band in range(len(edges) - 1):
-        lanes, spare = bands.shape(band)
-        differ = F.floor(low * F.lit(bands.den - bands.num) / F.lit(bands.num))
-        least = F.when(high >= edges[band], F.lit(lanes - spare) - differ).otherwise(least)
-    return close & (F.col("lanes") >= least)
+def crossing(lanes: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (a, b) of nodes of ``lanes`` (key, node, comp) that show an equal lane, are in
+    different components, and may be similar enough by their sizes and sketches.
+
+    A lane's nodes are dealt to blocks of about ``BLOCK``, and each two blocks meet in a
+    group of their own: groups are bounded whatever the lane, and only pairs that pass
+    leave a task, each from the first lane that the two have in common.
+    """
+    sizes = lanes.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m"))
+    own = lanes.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("own"))
+    sketched = sets.select("node", "size", "bits").join(own, "node")
+    dealt = (
+        lanes.join(sizes, "key")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        .select(
+            "key",
+            "node",
+            "comp",
+            "block",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+        )
+    )
+    grouped = (
+        dealt.join(sketched, "node")
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "node")
+    )
+    num, den = bands.num, bands.den
+
+    def pairs(rows: pa.Table) -> Iterator[tuple[int, int]]:
+        key = rows.column("key")[0].as_py()
+        across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        comp, block, size, node = (
+            rows.column(c).to_numpy() for c in ("comp", "block", "size", "node")
+        )
+        words = folded(rows.column("bits").to_pylist())
+        lists = rows.column("own")
+        for i in range(len(node) - 1):
+            low = np.minimum(size[i], size[i + 1 :])
+            high = np.maximum(size[i], size[i + 1 :])
+            may = (comp[i + 1 :] != comp[i]) & (den * low >= num * high)
+            if across:
+                may &= block[i + 1 :] != block[i]
+            js = np.flatnonzero(may)
+            if not len(js):
+                continue
+            apart = np.bitwise_count(words[i] ^ words[i + 1 + js]).sum(axis=1)
+            for j in (i + 1 + js[apart <= bands.differ(low[js])]).tolist():
+                mine, theirs = lists[i].values.to_numpy(), lists[j].values.to_numpy()
+                if np.intersect1d(mine, theirs, assume_unique=True)[0] == key:
+                    yield int(node[i]), int(node[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+
+        def out() -> pa.RecordBatch:
+            found = list(pairs(pa.Table.from_batches(held).combine_chunks()))
+            columns = [pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = np.stack(
+                [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "low", "high")]
+            )
+            cuts = np.flatnonzero((group[:, 1:] != group[:, :-1]).any(axis=0)) + 1
+            edges = [0, *cuts.tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                now = tuple(group[:, a].tolist())
+                if held and now != last:
+                    yield out()
+                    held.clear()
+                last = now
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield out()
+
+    return grouped.mapInArrow(run, "a long, b long").distinct()
+
+
+def shared_lanes(lanes: DataFrame) -> DataFrame:
+    """(key, node) of the lanes (key, node) that several nodes show, each once.
+
+    Lanes are sorted by key and read as a stream. The hottest ones, told by a sample of
+    nodes, never meet in one task: all their rows stay where they are, and of them alone,
+    ``HOT_KEYS`` rows at most, the keys are broadcast. Which lanes those are doesn't
+    change the result.
+    """
+    hot = landed(
+        lanes.filter(F.pmod("node", F.lit(SAMPLED)) == 0)
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") >= HOT_ROWS)
+        .orderBy(F.desc("n"), "key")
+        .limit(HOT_KEYS)
+        .select("key"),
+        "hot",
+    )
+    by_key = Window.partitionBy("key").orderBy("node")
+    cold = (
+        lanes.join(F.broadcast(hot), "key", "left_anti")
+        .withColumn("first", F.first("node").over(by_key))
+        .withColumn("next", F.lead("node").over(by_key))
+        .filter("first != node or first != next")
+        .select("key", "node")
+    )
+    busy = lanes.join(F.broadcast(hot), "key").select("key", "node")
+    return landed(cold.union(busy).distinct(), "shared")
 
 
 def link(
@@ -243,37 +381,32 @@ def link(
         .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")),
         "nodes",
     )
-    # Lanes that more than one node has; hot ones are pre-aggregated before the shuffle.
-    lanes = found.filter("keys is not null").select("node", F.explode("keys").alias("key"))
-    leaders = (
-        lanes.groupBy("key")
-        .agg(F.min("node").alias("lead"), F.max("node").alias("last"))
-        .filter("lead != last")
-        .select("key", "lead")
-    )
-    shared = landed(lanes.join(leaders, "key"), "shared").distinct()
+    lanes = found.filter("keys is not null").select(F.explode("keys").alias("key"), "node")
+    shared = shared_lanes(lanes)
     wanted = shared.select("node").distinct().join(nodes, "node")
     sets = landed(wanted_sets(docs, wanted, width), "sets")
 
-    size_a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"))
-    size_b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"))
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b), one row for each equal lane, that the sketches don't rule out."""
-        counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lanes"))
-        return counted.join(size_a, "a").join(size_b, "b").filter(can_link(bands))
-
-    followers = shared.filter("node != lead").select(
-        F.col("lead").alias("a"), F.col("node").alias("b")
+    # Every node goes to the leader it has the most lanes in common with; a lane is led by
+    # the node that meets the most others in its lanes.
+    met = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    known = shared.join(met, "key").groupBy("node").agg(F.sum("n").alias("known"))
+    ranked = shared.select("key", "node").join(known, "node")
+    leaders = ranked.groupBy("key").agg(
+        F.max(F.struct("known", "node")).alias("best")
+    )
+    followers = (
+        shared.select("key", "node")
+        .join(leaders, "key")
+        .select(F.col("best.node").alias("a"), F.col("best.known").alias("known"), F.col("node").alias("b"))
+        .filter("a != b")
     )
-    # Every node goes to the leader it has the most lanes in common with.
     best = (
-        possible(followers)
+        followers.groupBy("a", "b", "known")
+        .agg(F.count(F.lit(1)).alias("lanes"))
         .groupBy("b")
-        .agg(F.max_by("a", F.struct("lanes", "a")).alias("a"))
-        .select("a", "b")
+        .agg(F.max(F.struct("lanes", "known", "a")).alias("best"))
     )
-    tried = landed(best, "tried")
+    tried = best.select(F.col("best.a").alias("a"), "b")
     stars = landed(verified(tried, sets, num, den), "stars")
     inside = components(stars)
 
@@ -287,13 +420,8 @@ def link(
         .filter("low != high")
         .select("key")
     )
-    open_lanes = landed(placed.join(mixed, "key"), "open")
-    x = open_lanes.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"))
-    y = open_lanes.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"))
-    crossing = x.join(y, "key").filter("a < b and ca != cb").select("a", "b")
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(possible(crossing).join(done, ["a", "b"], "left_anti"), sets, num, den)
-    bridges = landed(more, "bridges")
+    left = landed(placed.join(mixed, "key").distinct(), "left")
+    bridges = landed(verified(crossing(left, sets, bands), sets, num, den), "bridges")
 
     if not bridges.isEmpty():
         inside = components(stars.union(bridges))
