@@ -85,25 +85,27 @@ class Model:
         for name in self.languages:
             own = suffix_automaton(self.code[np.frombuffer(texts[name], np.uint8)], self.symbols)
             own[own > 0] += at
-            tables.append(own)
+            # One more state, without a way on, after a byte that is no phrase's beginning.
+            tables.append(np.concatenate([own, np.zeros((1, self.symbols), np.int32)]))
             roots.append(at)
-            at += len(own)
+            at += len(own) + 1
         # Targets are row offsets, ready to add the next symbol to.
         self.table = np.concatenate(tables).ravel() * np.int32(self.symbols) if tables else None
         self.roots = np.array(roots, np.int32) * np.int32(self.symbols)
+        self.dead = np.array([*roots[1:], at], np.int32) * np.int32(self.symbols) - self.symbols
         self.bits = np.array([np.log2(max(2, len(texts[n]))) for n in self.languages])
 
     def phrases(self, pieces: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases [language, piece] of pieces [position, piece] of symbols, sorted by
-        falling size."""
+        falling size, none empty."""
         n = pieces.shape[1]
         count = np.zeros((len(self.roots), n), np.int32)
         lasting = np.searchsorted(-sizes, -np.arange(len(pieces)), side="left").tolist()
         for k, root in enumerate(self.roots):
             start = self.table[root : root + self.symbols]
-            start = np.where(start > 0, start, root)  # alone a phrase: begin anew after it
-            state = np.full(n, root, np.int32)
-            for at, m in enumerate(lasting):  # m pieces are longer than ``at``
+            start = np.where(start > 0, start, self.dead[k]).astype(np.int32)
+            state = start[pieces[0]]
+            for at, m in enumerate(lasting[1:], 1):  # m pieces are longer than ``at``
                 now = pieces[at, :m]
                 following = self.table[state[:m] + now]
                 stuck = following == 0

@@ -15,10 +15,6 @@ WIDTH = 3
 WHITE = " \t\n\x0b\x0c\r"
 
 
-def _lines() -> Column:
-    return F.split("text", "\n")
-
-
 def _hashes(lines: Column) -> Column:
     """Hash of each line without outer white space and in lower case; null: blank."""
 
@@ -39,7 +35,7 @@ def windows(docs: DataFrame) -> DataFrame:
     """(doc_id, h, at, w): the hash w of the non-blank lines at, at + 1 and at + 2."""
     split = (
         docs.filter("text is not null")
-        .select("doc_id", F.xxhash64("text").alias("h"), _hashes(_lines()).alias("all"))
+        .select("doc_id", F.xxhash64("text").alias("h"), _hashes(F.split("text", "\n")).alias("all"))
         .select("doc_id", "h", F.filter("all", lambda x: x.isNotNull()).alias("full"))
         .filter(F.size("full") >= WIDTH)
     )
@@ -87,30 +83,27 @@ def dedup(docs: DataFrame) -> DataFrame:
     cuts = later(landed(windows(docs), "windows")).select(
         F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), "ats"
     )
+    # The row stays one column until the end, so that no name in it can clash.
     rows = docs.select(F.struct(*kept).alias("_row"), F.xxhash64("text").alias("_h0"))
-    joined = rows.join(
-        cuts, (F.col("_h0") == F.col("_h")) & F.col("_row.doc_id").eqNullSafe(F.col("_doc_id")), "left"
-    ).select("_row.*", F.col("ats").alias("_ats"))
-    lines = _lines()
-    full = _full(_hashes(lines))
+    same = (F.col("_h0") == F.col("_h")) & F.col("_row.doc_id").eqNullSafe(F.col("_doc_id"))
+    text = F.col("_row.text")
+    lines = F.split(text, "\n")
+    touched = F.col("ats").isNotNull()
     covered = F.array_distinct(
-        F.flatten(F.transform("_ats", lambda a: F.array(*[a + k for k in range(WIDTH)])))
+        F.flatten(F.transform("ats", lambda a: F.array(*[a + k for k in range(WIDTH)])))
     )
     # Mentioned twice, so that the optimiser doesn't put its expression into the lambda.
     gone = F.transform(covered, lambda j: F.when(j < F.size("_full"), F.col("_full")[j]))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     shorter = F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n")
-    touched = F.col("_ats").isNotNull()
-    steps = (
-        joined.withColumn("_lines", lines)
-        .withColumn("_full", F.when(touched, full))
+    new = F.when(touched, shorter).otherwise(text)
+    return (
+        rows.join(cuts, same, "left")
+        .select("_row", "ats", lines.alias("_lines"), F.when(touched, _full(_hashes(lines))).alias("_full"))
         .withColumn("_gone", F.when(touched, gone))
-    )
-    return steps.select(
-        *[
-            F.when(touched, shorter).otherwise(F.col("text")).alias("text") if c.lower() == "text" else F.col(f"`{c}`")
-            for c in kept
-        ],
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
-        F.when(touched, F.size("_gone")).otherwise(0).cast("long").alias("n_removed"),
+        .select(
+            *[(new if c.lower() == "text" else F.col(f"_row.`{c}`")).alias(c) for c in kept],
+            F.when(text.isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+            F.when(touched, F.size("_gone")).otherwise(0).cast("long").alias("n_removed"),
+        )
     )

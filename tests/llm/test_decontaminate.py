@@ -75,6 +75,6 @@ def test_odd_rows_and_clashing_names(spark, make, odd):
     found = dc.find(make(odd, clash=True), items)
     rows = found.collect()
     assert len(rows) == len(odd) and found.columns.count("spans") == 1
-    assert sorted((r["doc_id"] or 0, r["n_words"]) for r in rows if r["spans"]) == [(4, 11), (4, 11)]
+    assert sorted((r["doc_id"] or 0, r["n_words"]) for r in rows if r["spans"]) == [(4, 12), (4, 12)]
     assert dc.find(make([]), items).count() == 0
     assert all(not r["spans"] for r in dc.find(make(odd), items.limit(0)).collect())
