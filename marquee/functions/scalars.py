@@ -22,8 +22,9 @@ def empty_list() -> Column:
 
 
 def to_long(col: Column) -> Column:
-    """Whole number from text or any numeric; anything else is null."""
-    return col.try_cast("double").try_cast("bigint")
+    """Whole number from text or any numeric; anything else, such as ``12d``, is null."""
+    number = F.when(col.cast("string").rlike(_NUMBER), col)
+    return number.try_cast("double").try_cast("bigint")
 
 
 def split_list(col: Column, null_as_empty: bool = True) -> Column:
@@ -59,7 +60,8 @@ def concat_lists(*cols: Column) -> Column:
 
 
 def compact_tokens(col: Column, null_token: str | None = None) -> Column:
-    """``['Brad Pitt', 'Sci Fi']`` to ``'bradpitt scifi'``; null list gives ``''``.
+    """Every element in lower case without its spaces, joined by spaces: ``['Une Nuit',
+    'X']`` to ``'unenuit x'``; null list gives ``''``.
 
     Null elements are left out, or written as ``null_token`` where one is given.
     """
@@ -69,10 +71,10 @@ def compact_tokens(col: Column, null_token: str | None = None) -> Column:
 
 
 def canonical_id(col: Column) -> Column:
-    """``12``, ``12.0`` and ``' 12 '`` become ``'12'``; other text is trimmed."""
+    """``12``, ``12.0`` and ``' 12 '`` become ``'12'``; other text loses its outer white
+    space."""
     text = col.cast("string")
-    number = F.when(text.rlike(_NUMBER), to_long(text))
-    return F.coalesce(number.cast("string"), F.trim(text))
+    return F.coalesce(to_long(text).cast("string"), F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
 def is_wanted(value: object) -> bool:

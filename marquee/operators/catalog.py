@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import concat_lists, parse_literal_list, split_list, to_long
-from marquee.sizing import settle
 from marquee.sources.schemas import CATALOG
 
 # Credit categories, kept languages, unused enrichment columns.
@@ -69,64 +68,66 @@ def build_base(basics: DataFrame, crew: DataFrame, ratings: DataFrame, **gate) -
     return quality_gate(joined, **gate).select(*BASE_COLUMNS)
 
 
-def _page_of_large_groups(
-    df: DataFrame, keys: list[str], ordering: str, page_size: int
+def select_credits(
+    principals: DataFrame,
+    key: str = "tconst",
+    person: str = "nconst",
+    category: str = "category",
+    ordering: str = "ordering",
+    categories: tuple[str, ...] = CATEGORIES,
 ) -> DataFrame:
-    """Number the slices of groups with more than ``page_size`` rows; others get 0.
+    """Credits of the wanted categories, a row each: the grain to join and filter in."""
+    return principals.filter(F.col(category).isin(*categories)).select(
+        key, category, ordering, person
+    )
 
-    Slices are equal ranges of ``ordering``, so every row of one page comes before
-    every row of the next, and no page needs the whole group in one task. There is at
-    most one large group per ``page_size`` rows; the list of them is written once,
-    measured, and broadcast while small, so ordinary rows are not shuffled to learn
-    their page.
-    """
-    large = settle(
-        df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(ordering).alias("_lo"),
-            F.max(ordering).alias("_hi"),
-        )
-        .filter(F.col("_n") > page_size),
-        "large-groups",
+
+def name_credits(
+    credits: DataFrame, names: DataFrame, person: str = "nconst", name: str = "primaryName"
+) -> DataFrame:
+    """``credits`` with the people's names in place of their ids; an unknown id is null."""
+    people = (
+        names.filter(F.col(person).isNotNull())
+        .groupBy(F.col(person).cast("string").alias("_ref"))
+        .agg(F.max(name).alias("_label"))
     )
-    span = F.col("_hi") - F.col("_lo") + 1
-    page = F.floor((F.col(ordering) - F.col("_lo")) * F.ceil(F.col("_n") / page_size) / span)
-    return df.join(large, keys, "left").select(
-        *df.columns, F.coalesce(page, F.lit(0)).cast("bigint").alias("page")
+    known = credits.withColumn("_ref", F.col(person).cast("string")).join(people, "_ref", "left")
+    return known.select(
+        *[F.col("_label").alias(c) if c == person else F.col(c) for c in credits.columns],
+        F.col("_ref").alias("ref"),
     )
 
 
-def principals_pivot(
-    principals: DataFrame,
+def cast_lists(
+    credits: DataFrame,
     key: str = "tconst",
     person: str = "nconst",
     category: str = "category",
     ordering: str = "ordering",
     categories: tuple[str, ...] = CATEGORIES,
-    page_size: int = 100_000,
 ) -> DataFrame:
-    """One list of people per title and category, in credit order, categories as columns.
+    """One row per title: its people of every category in credit order, for display.
 
-    Only a title with more than ``page_size`` credits in a category spans several
-    rows, numbered by ``page``; every other title is one row with page 0.
+    Equal ``ordering`` goes by id, which is in ``ref`` where names have taken its place.
     """
-    credits = principals.filter(F.col(category).isin(*categories)).select(
-        key, category, ordering, person
-    )
-    paged = _page_of_large_groups(credits, [key, category], ordering, page_size)
-    entry = F.struct(F.col(ordering), F.col(person))
-    lists = paged.groupBy(key, "page").agg(
+    tie = "ref" if "ref" in credits.columns else person
+    entry = F.struct(F.col(ordering), F.col(tie).alias("tie"), F.col(person).alias("shown"))
+    lists = credits.groupBy(key).agg(
         *[
             F.array_sort(F.collect_list(F.when(F.col(category) == name, entry))).alias(name)
             for name in categories
         ]
     )
     return lists.select(
-        key, "page", *[F.transform(name, lambda e: e[person]).alias(name) for name in categories]
+        key, *[F.transform(name, lambda e: e["shown"]).alias(name) for name in categories]
     )
 
 
+def principals_pivot(principals: DataFrame, **columns) -> DataFrame:
+    """One list of people per title and category, in credit order, categories as columns."""
+    return cast_lists(select_credits(principals, **columns), **columns)
+
+
 def add_cast(base: DataFrame, pivot: DataFrame, key: str = "tconst") -> DataFrame:
     return base.join(pivot, key, "left")
 

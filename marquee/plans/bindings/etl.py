@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from marquee import functions as fn
 from marquee.functions.genres import DOCUMENTARY_GENRES, FILM_GENRES
 from marquee.operators import catalog, titles
+from marquee.plans import pipelines
 from marquee.plans.bindings.registry import Tables, query
 
 
@@ -115,7 +116,7 @@ def catalog_base(t: Tables) -> DataFrame:
 @query(
     f"""
 WITH {CREDITS_SQL}
-SELECT tconst, CAST(0 AS BIGINT) AS page,
+SELECT tconst,
   coalesce(string_agg(CAST(nconst AS VARCHAR), ',' ORDER BY ordering, nconst)
     FILTER (WHERE category = 'actor'), '') AS actor,
   coalesce(string_agg(CAST(nconst AS VARCHAR), ',' ORDER BY ordering, nconst)
@@ -129,7 +130,6 @@ def principals_pivot(t: Tables) -> DataFrame:
     pivot = catalog.principals_pivot(credits(t))
     return pivot.select(
         "tconst",
-        "page",
         *[
             F.array_join(F.col(c).cast("array<string>"), ",").alias(c)
             for c in catalog.CATEGORIES
@@ -164,10 +164,78 @@ LEFT JOIN names w2 ON CAST(split_part(writers, ',', 2) AS BIGINT) = w2.s_suppkey
 def resolve_names(t: Tables) -> DataFrame:
     lists = catalog.add_cast(crew(t), catalog.principals_pivot(credits(t)))
     cols = ["directors", "writers", *catalog.CATEGORIES]
-    named = catalog.resolve_names(lists.drop("page"), people(t), cols)
+    named = catalog.resolve_names(lists, people(t), cols)
     return named.select("tconst", *[F.array_join(c, ",", "?").alias(c) for c in cols])
 
 
+def _lists_sql(category: str) -> str:
+    return (
+        f"list(s_name ORDER BY ordering, CAST(nconst AS VARCHAR)) "
+        f"FILTER (WHERE category = '{category}') AS {category}"
+    )
+
+
+@query(
+    f"""
+WITH {BASICS_SQL}, {CREDITS_SQL},
+names AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal >= 0),
+films AS (
+  SELECT basics.*, d.doc_id AS id, d.lang, d.text, d.source,
+    "averageRating", "numVotes", crew.directors, crew.writers
+  FROM basics JOIN crew USING (tconst) JOIN votes USING (tconst)
+  JOIN documents d ON CAST(d.doc_id AS VARCHAR) = tconst
+  WHERE TRY_CAST("startYear" AS INTEGER) > 1990 AND "titleType" = 'movie'
+    AND TRY_CAST("averageRating" AS FLOAT) > CAST(4.0 AS FLOAT)
+    AND TRY_CAST("runtimeMinutes" AS INTEGER) > 75 AND TRY_CAST("numVotes" AS INTEGER) > 10
+    AND d.lang IN ('en', 'fr', 'de', 'es', 'it', 'nl', 'pt', 'fi', 'ga', 'ja')
+    AND d.n_chars >= 100),
+cast_lists AS (
+  SELECT tconst, {_lists_sql('actor')}, {_lists_sql('actress')}, {_lists_sql('producer')}
+  FROM credits LEFT JOIN names ON nconst = s_suppkey
+  WHERE category IN ('actor', 'actress', 'producer') GROUP BY tconst)
+SELECT f.tconst, id, "primaryTitle", replace(genres, ',', '|') AS genres,
+  array_to_string(list_transform(coalesce(actor, []) || coalesce(actress, []),
+    lambda x: coalesce(x, '?')), '|') AS actor_actress,
+  array_to_string(list_transform(coalesce(producer, []), lambda x: coalesce(x, '?')), '|')
+    AS producer,
+  coalesce(d.s_name, '?') AS directors,
+  coalesce(w1.s_name, '?') || '|' || coalesce(w2.s_name, '?') AS writers,
+  CAST("numVotes" AS BIGINT) AS "numVotes", lang AS original_language, text AS overview
+FROM films f LEFT JOIN cast_lists USING (tconst)
+LEFT JOIN names d ON CAST(directors AS BIGINT) = d.s_suppkey
+LEFT JOIN names w1 ON CAST(split_part(writers, ',', 1) AS BIGINT) = w1.s_suppkey
+LEFT JOIN names w2 ON CAST(split_part(writers, ',', 2) AS BIGINT) = w2.s_suppkey
+"""
+)
+def build_catalog(t: Tables) -> DataFrame:
+    """From the source tables to the final catalogue, one row per title."""
+    none = F.lit(None).cast("string")
+    extra = t.documents.select(
+        F.col("doc_id").cast("string").alias("imdb_id"),
+        F.col("doc_id").alias("id"),
+        F.col("lang").alias("original_language"),
+        F.when(F.col("n_chars") >= 100, F.col("text")).alias("overview"),
+        F.col("source").alias("poster_path"),
+        F.lit(1.0).alias("popularity"),
+        none.alias("budget"),
+        none.alias("revenue"),
+        none.alias("production_companies_name"),
+    )
+    films = pipelines.build_catalog(
+        basics(t), crew(t), votes(t), credits(t), people(t), extra, min_rating=4.0, min_votes=10
+    )
+    lists = ("genres", "actor_actress", "producer", "directors", "writers")
+    return films.select(
+        "tconst",
+        "id",
+        "primaryTitle",
+        *[F.array_join(c, "|", "?").alias(c) for c in lists],
+        "numVotes",
+        "original_language",
+        "overview",
+    )
+
+
 @query(
     """
 SELECT CAST(l.doc_id AS VARCHAR) AS tconst, l.quality, d.doc_id AS id,

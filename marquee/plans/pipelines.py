@@ -22,21 +22,24 @@ def build_catalog(
 ) -> DataFrame:
     """Final catalogue from the source tables.
 
-    Credits and enrichment rows of titles that fail the gate are dropped by semi-joins
-    on the title id before they are grouped or looked up.
+    Language and completeness are judged before any name is looked up. Credits stay one
+    row each until the films that stay are known and the names are found; lists are made
+    last, one row per title.
     """
     base = catalog.build_base(basics, crew, ratings, **gate)
     base = base.withColumn("genres", split_list(F.col("genres")))
-    kept = base.select("tconst")
-    cast = catalog.principals_pivot(principals.join(kept, "tconst", "left_semi"))
-    people = catalog.resolve_names(
-        catalog.add_cast(base, cast).withColumn("page", F.coalesce("page", F.lit(0))),
+    full = catalog.enrich(base, extra, dedup)
+    films = catalog.drop_incomplete(catalog.keep_languages(full))
+    titles_kept = films.select("tconst").distinct()
+    credits = catalog.select_credits(principals).join(titles_kept, "tconst", "left_semi")
+    cast = catalog.cast_lists(catalog.name_credits(credits, names))
+    crews = catalog.resolve_names(
+        crew.join(titles_kept, "tconst", "left_semi").select("tconst", "directors", "writers"),
         names,
-        ["directors", "writers", "actor", "actress", "producer"],
-        key=["tconst", "page"],
+        ["directors", "writers"],
     )
-    full = catalog.enrich(people, extra, dedup)
-    return catalog.conform(catalog.drop_incomplete(catalog.keep_languages(full)))
+    people = catalog.add_cast(crews, cast)
+    return catalog.conform(films.drop("directors", "writers").join(people, "tconst", "left"))
 
 
 def build_text_columns(films: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:

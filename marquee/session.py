@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,11 +32,14 @@ def get_session(app_name: str = "marquee", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only where a session names none (tests, one machine) a temporary one is made.
+    Where a session names none, a temporary one is made for a local master; on a cluster
+    that is an error, since executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="marquee-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)

@@ -43,24 +43,28 @@ def credits(spark):
 def test_principals_pivot(spark, rows):
     got = rows(catalog.principals_pivot(credits(spark)))
     assert got == [
-        ("t1", 0, ["a", "b", "a"], ["c"], []),
-        ("t2", 0, [], [], ["e"]),
+        ("t1", ["a", "b", "a"], ["c"], []),
+        ("t2", [], [], ["e"]),
     ]
 
 
-def test_principals_pages_keep_every_credit_in_order(spark):
-    many = spark.range(1000).select(
+def test_a_title_of_many_credits_is_one_row(spark):
+    """However many credits, and however far apart their order, a title is one film."""
+    many = spark.range(5000).select(
         F.lit("hot").alias("tconst"),
-        F.col("id").cast("int").alias("ordering"),
+        F.when(F.col("id") == 4999, F.lit(2_000_000_000)).otherwise(F.col("id")).cast("int").alias(
+            "ordering"
+        ),
         F.concat(F.lit("n"), "id").alias("nconst"),
         F.lit("actor").alias("category"),
     )
-    df = catalog.principals_pivot(many.unionByName(credits(spark)), page_size=100)
-    pages = df.filter("tconst = 'hot'").orderBy("page").collect()
-    assert [r["page"] for r in pages] == list(range(10))
-    assert max(len(r["actor"]) for r in pages) == 100
-    assert [n for r in pages for n in r["actor"]] == [f"n{i}" for i in range(1000)]
-    assert df.filter("tconst = 't1'").count() == 1
+    df = catalog.principals_pivot(many.unionByName(credits(spark)))
+    (hot,) = df.filter("tconst = 'hot'").collect()
+    assert hot["actor"] == [f"n{i}" for i in range(5000)]
+    assert df.count() == 3
+    names = spark.createDataFrame([("n1", "Ann"), ("a", "Bob")], "nconst string, primaryName string")
+    named = catalog.cast_lists(catalog.name_credits(catalog.select_credits(many), names))
+    assert named.first()["actor"][:3] == [None, "Ann", None]
 
 
 def test_resolve_names(spark, rows):
