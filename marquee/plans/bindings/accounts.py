@@ -81,7 +81,7 @@ def valid_users(t: Tables) -> DataFrame:
     f"""
 WITH {RAW_USERS_SQL},
 updates AS (SELECT username, films || ',new' AS films, '' AS docs FROM raw_users
-  WHERE name < 'Customer#000000700'
+  WHERE row % 2 = 0
   QUALIFY row_number() OVER (PARTITION BY username ORDER BY row DESC) = 1)
 SELECT p.username, p.name, p.email, p.role, CASE WHEN u.username IS NULL THEN p.films
     ELSE ltrim(u.films, ',') END AS films,
@@ -96,7 +96,7 @@ def apply_updates(t: Tables) -> DataFrame:
     )
     segment = t.customer.select(F.col("c_custkey").alias("row"), "c_mktsegment")
     updates = (
-        records.filter(F.col("name") < "Customer#000000700")
+        records.filter(F.col("row") % 2 == 0)
         .join(segment, "row")
         .select(
             "username",
@@ -126,7 +126,7 @@ def profile_payload(t: Tables) -> DataFrame:
 
 def submissions(t: Tables) -> DataFrame:
     """Purchases rate two films, clicks put one on the watchlist."""
-    film = F.col("event_id") % 40
+    film = F.col("event_id") % t.part.agg(F.count(F.lit(1)).alias("n")).scalar()
     return t.events.select(
         F.concat(F.lit("u"), "user_id").alias("username"),
         F.when(F.col("event_type") == "purchase", F.lit(ratings.SUBMIT))
@@ -149,15 +149,15 @@ def submissions(t: Tables) -> DataFrame:
 
 SUBMISSIONS_SQL = """
 rate_events AS (
-  SELECT 'u' || user_id AS user_id, CAST(event_id % 40 AS VARCHAR) AS item_id,
+  SELECT 'u' || user_id AS user_id, CAST(event_id % (SELECT count(*) FROM part) AS VARCHAR) AS item_id,
     CAST(event_id % 5 + 1 AS INTEGER) AS rating, ts FROM events WHERE event_type = 'purchase'
   UNION ALL
-  SELECT 'u' || user_id, CAST(event_id % 40 + 1 AS VARCHAR),
+  SELECT 'u' || user_id, CAST(event_id % (SELECT count(*) FROM part) + 1 AS VARCHAR),
     CAST(event_id % 4 + 1 AS INTEGER), ts
   FROM events WHERE event_type = 'purchase' AND event_id % 3 > 0),
 latest AS (SELECT user_id, item_id, rating, ts FROM rate_events
   QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts DESC, rating DESC) = 1),
-watched AS (SELECT 'u' || user_id AS user_id, CAST(event_id % 40 AS VARCHAR) AS item_id,
+watched AS (SELECT 'u' || user_id AS user_id, CAST(event_id % (SELECT count(*) FROM part) AS VARCHAR) AS item_id,
     min(ts) AS ts FROM events WHERE event_type = 'click' GROUP BY ALL),
 waiting AS (SELECT * FROM watched ANTI JOIN latest USING (user_id, item_id))
 """

@@ -135,37 +135,127 @@ def rating_biases(t: Tables) -> DataFrame:
     )
 
 
-@query()
+GIVEN_SQL = f"""
+{USER_ITEM_SQL},
+marked AS (SELECT *, {_SHARE_SQL} < 0.2 AS is_test FROM r),
+train AS (SELECT * FROM marked WHERE NOT is_test),
+m AS (SELECT avg(rating) AS mean FROM train),
+ib AS (SELECT item_id, sum(rating - (SELECT mean FROM m)) / (count(*) + 5.0) AS b
+      FROM train GROUP BY item_id),
+ub AS (SELECT user_id, sum(rating - (SELECT mean FROM m) - b) / (count(*) + 5.0) AS b
+      FROM train JOIN ib USING (item_id) GROUP BY user_id),
+vecs AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+predicted AS (
+  SELECT t.user_id, t.item_id, rating,
+    least(greatest((SELECT mean FROM m) + coalesce(ub.b, 0) + coalesce(ib.b, 0)
+      + CASE WHEN ub.b IS NULL OR ib.b IS NULL THEN 0
+        ELSE coalesce(list_dot_product(p.v, q.v), 0) END, 0.5), 5.0) AS prediction
+  FROM marked t LEFT JOIN ib ON ib.item_id = t.item_id LEFT JOIN ub ON ub.user_id = t.user_id
+  LEFT JOIN vecs p ON p.vec_id = t.user_id LEFT JOIN vecs q ON q.vec_id = t.item_id
+  WHERE is_test)
+"""
+
+
+def given_model(t: Tables, train: DataFrame) -> factors.FactorModel:
+    """Biases of the training part, and the embeddings of the same number as vectors."""
+    items, users = factors.rating_biases(train)
+    vectors = t.embeddings.select("vec_id", F.col("embedding").alias("features"))
+
+    def side(biases: DataFrame, own: str, bias: str) -> DataFrame:
+        joined = biases.join(vectors, F.col(own) == F.col("vec_id"), "left")
+        return joined.select(own, F.col(bias).alias("bias"), "features")
+
+    return factors.FactorModel(
+        mean=train.agg(F.avg("rating").alias("mean")),
+        users=side(users, "user_id", "user_bias"),
+        items=side(items, "item_id", "item_bias"),
+    )
+
+
+def parts(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return factors.split(landed(user_item(t), "user-item"))
+
+
+@query(
+    f"""
+WITH {USER_ITEM_SQL},
+i AS (SELECT item_id, sum(rating - (SELECT avg(rating) FROM r)) / (count(*) + 5.0) AS b
+      FROM r GROUP BY item_id)
+SELECT item_id, round(b, 4) AS bias, 40 AS rank, true AS beats_biases FROM i
+"""
+)
 def train_cf(t: Tables) -> DataFrame:
-    """Factors of a trained model: rank and size of each vector's bias by item."""
-    model = factors.train_cf(user_item(t))
+    """Bias and number of factors of every item, and whether the model's error on what it
+    has learned from is lower than that of mean and biases alone."""
+    rated = landed(user_item(t), "user-item")
+    model = factors.train_cf(rated)
+    no_factors = F.lit(None).cast("array<float>")
+    plain = factors.FactorModel(
+        model.mean,
+        model.users.withColumn("features", no_factors),
+        model.items.withColumn("features", no_factors),
+    )
+    errors = [factors.evaluate(factors.predict(m, rated)).select("rmse").scalar() for m in (model, plain)]
     return model.items.select(
-        "item_id", F.round("bias", 4).alias("bias"), F.size("features").alias("rank")
+        "item_id",
+        F.round("bias", 4).alias("bias"),
+        F.size("features").alias("rank"),
+        (errors[0] < errors[1]).alias("beats_biases"),
     )
 
 
-@query()
+@query(
+    f"WITH {GIVEN_SQL} SELECT user_id, item_id, rating, round(prediction, 6) AS prediction "
+    "FROM predicted"
+)
 def predict(t: Tables) -> DataFrame:
-    train, test = factors.split(user_item(t))
-    return factors.predict(factors.train_cf(train), test)
+    train, test = parts(t)
+    found = factors.predict(given_model(t, train), test)
+    return found.withColumn("prediction", F.round("prediction", 6))
 
 
-@query()
+@query(
+    f"""
+WITH {GIVEN_SQL}
+SELECT round(sqrt(avg((rating - prediction) ** 2)), 6) AS rmse,
+  round(avg(abs(rating - prediction)), 6) AS mae
+FROM predicted
+"""
+)
 def evaluate(t: Tables) -> DataFrame:
-    train, test = factors.split(user_item(t))
-    return factors.evaluate(factors.predict(factors.train_cf(train), test))
+    train, test = parts(t)
+    errors = factors.evaluate(factors.predict(given_model(t, train), test))
+    return errors.select(F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
-@query()
+@query(
+    f"""
+WITH {GIVEN_SQL},
+seen AS (SELECT DISTINCT user_id, item_id FROM train),
+scored AS (
+  SELECT ub.user_id, ib.item_id, round(least(greatest((SELECT mean FROM m) + ub.b + ib.b
+    + list_dot_product(p.v, q.v), 0.5), 5.0), 6) AS score
+  FROM ub JOIN vecs p ON p.vec_id = ub.user_id, ib JOIN vecs q ON q.vec_id = ib.item_id)
+SELECT user_id, item_id, score,
+  CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS INTEGER) AS rank
+FROM scored ANTI JOIN seen USING (user_id, item_id)
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) <= 5
+"""
+)
 def top_unseen(t: Tables) -> DataFrame:
-    rated = landed(user_item(t), "user-item")
-    return factors.top_unseen(factors.train_cf(rated), rated)
+    train, _ = parts(t)
+    return factors.top_unseen(given_model(t, train), train)
 
 
-@query()
+@query("SELECT rank, iterations, reg, true AS beats_mean FROM (VALUES (40, 10, 0.1::DOUBLE), "
+       "(40, 10, 0.2::DOUBLE)) v(rank, iterations, reg)")
 def tune(t: Tables) -> DataFrame:
-    grid = {"rank": [40], "iterations": [5], "reg": [0.1, 0.2]}
-    return factors.tune(user_item(t), grid)
+    """Every choice, and whether its error over the folds of the training part is lower
+    than that of always saying the mean."""
+    train, _ = parts(t)
+    scores = factors.tune(train, {"rank": [40], "iterations": [10], "reg": [0.1, 0.2]})
+    spread = train.agg(F.stddev_pop("rating").alias("s")).scalar()
+    return scores.select("rank", "iterations", "reg", (F.col("rmse") < spread).alias("beats_mean"))
 
 
 def item_factors(t: Tables) -> DataFrame:
@@ -264,3 +354,23 @@ QUALIFY row_number() OVER (PARTITION BY user_id
 )
 def surprise(t: Tables) -> DataFrame:
     return recommend.surprise(recommendations(t), event_ratings(t))
+
+
+@query(
+    f"""
+WITH {FOLD_SQL},
+asked AS (SELECT DISTINCT user_id FROM rated UNION SELECT -o_custkey FROM orders),
+best AS (SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS rank
+  FROM rated GROUP BY item_id QUALIFY rank <= 100)
+SELECT user_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM recs
+UNION ALL
+SELECT user_id, item_id, NULL, CAST(rank AS INTEGER)
+FROM (SELECT user_id FROM asked ANTI JOIN recs USING (user_id)), best
+"""
+)
+def cold_users(t: Tables) -> DataFrame:
+    """Customers have no rating of an item with a vector: they get the popular items."""
+    rated = landed(event_ratings(t), "event-ratings")
+    recs = landed(factors.fold_in(item_factors(t), rated, k=100, rank=64), "recs")
+    new = t.orders.select((-F.col("o_custkey")).alias("user_id"))
+    return factors.with_popular(recs, rated.select("user_id").union(new), rated)

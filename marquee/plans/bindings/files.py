@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee import sources
@@ -49,15 +49,15 @@ def tsv_round_trip(t: Tables) -> DataFrame:
     )
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+@query("SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def json_round_trip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "json")
-    rows = t.events.drop("ts")
-    sources.write_json(rows, path)
+    sources.write_json(t.events, path)
     return sources.read_json(
         t.spark,
         path,
-        "event_id bigint, user_id bigint, event_type string, value double, props string",
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string",
     )
 
 
@@ -84,3 +84,28 @@ def model_round_trip(t: Tables) -> DataFrame:
     return FactorModel.load(t.spark, path).items.select(
         "item_id", "bias", F.size("features").alias("rank"), F.round(total, 4).alias("total")
     )
+
+
+@query(
+    """
+SELECT c_custkey, c_name FROM customer
+WHERE c_nationkey % 3 = 0 AND c_custkey NOT IN (
+  SELECT max(c_custkey) FROM customer WHERE c_nationkey % 3 = 0 GROUP BY c_nationkey)
+"""
+)
+def json_list_files(t: Tables) -> DataFrame:
+    """One file for each nation: a list of its customers but the last one for every third
+    nation; for the others an empty list, or a single record, which is no list."""
+    path = scratch_path(t.spark, "lists")
+    record = F.struct("c_custkey", "c_name")
+    last = F.max("c_custkey").over(Window.partitionBy("c_nationkey"))
+    kept = t.customer.withColumn("last", last).filter("c_custkey < last or c_nationkey % 3 > 0")
+    files = kept.groupBy("c_nationkey").agg(
+        F.to_json(F.collect_list(F.when(F.col("c_nationkey") % 3 == 0, record))).alias("some"),
+        F.to_json(F.max(record)).alias("one"),
+    )
+    text = F.when(F.col("c_nationkey") % 3 < 2, F.col("some")).otherwise(F.col("one"))
+    files.select(text.alias("value"), "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    return sources.read_records(t.spark, path, "c_custkey bigint, c_name string").select(
+        "c_custkey", "c_name"
+    )

@@ -13,7 +13,7 @@ from marquee.sources import preview
 
 
 def labelled(t: Tables) -> DataFrame:
-    return t.documents.drop("text").join(t.labels, "doc_id", "left")
+    return t.documents.join(t.labels, "doc_id", "left")
 
 
 @query(
@@ -93,7 +93,7 @@ def value_counts(t: Tables) -> DataFrame:
 
 
 _LABELLED_SQL = """
-labelled AS (SELECT d.doc_id, lang, source, n_chars, quality, toxic
+labelled AS (SELECT d.doc_id, text, lang, source, n_chars, quality, toxic
              FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 """
 
@@ -102,6 +102,7 @@ labelled AS (SELECT d.doc_id, lang, source, n_chars, quality, toxic
     f"""
 WITH {_LABELLED_SQL}
 SELECT 'doc_id' AS "column", count(*) FILTER (doc_id IS NULL) AS nulls FROM labelled
+UNION ALL SELECT 'text', count(*) FILTER (text IS NULL) FROM labelled
 UNION ALL SELECT 'lang', count(*) FILTER (lang IS NULL) FROM labelled
 UNION ALL SELECT 'source', count(*) FILTER (source IS NULL) FROM labelled
 UNION ALL SELECT 'n_chars', count(*) FILTER (n_chars IS NULL) FROM labelled
@@ -118,7 +119,7 @@ def rows_with_nulls(t: Tables) -> DataFrame:
     return profile.rows_with_nulls(labelled(t))
 
 
-@query(f"WITH {_LABELLED_SQL} SELECT count(*) AS n_rows, 6 AS n_columns FROM labelled")
+@query(f"WITH {_LABELLED_SQL} SELECT count(*) AS n_rows, 7 AS n_columns FROM labelled")
 def shape(t: Tables) -> DataFrame:
     return profile.shape(labelled(t))
 
@@ -128,12 +129,13 @@ def shape(t: Tables) -> DataFrame:
 WITH {_LABELLED_SQL}
 SELECT 'doc_id' AS "column", 'bigint' AS expected, 'bigint' AS actual, true AS matches,
   count(doc_id) AS filled, count(*) AS n_rows FROM labelled
+UNION ALL SELECT 'text', 'string', 'string', true, count(text), count(*) FROM labelled
 UNION ALL SELECT 'quality', 'string', 'int', false, count(quality), count(*) FROM labelled
 UNION ALL SELECT 'genres', 'array<string>', NULL, false, 0, count(*) FROM labelled
 """
 )
 def check_schema(t: Tables) -> DataFrame:
-    expected = {"doc_id": "bigint", "quality": "string", "genres": "array<string>"}
+    expected = {"doc_id": "bigint", "text": "string", "quality": "string", "genres": "array<string>"}
     return profile.check_schema(labelled(t), expected)
 
 

@@ -61,7 +61,11 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.json(path)
+    """One JSON record per line; times keep their microseconds."""
+    df.write.options(
+        timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    ).json(path)
 
 
 def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -72,9 +72,8 @@ def test_model_beats_the_mean_and_survives_a_save(spark, tmp_path):
     assert abs(factors.predict(model, unknown).first()["prediction"] - mean) < 1e-9
 
 
-def test_hot_items_are_split_without_losing_accuracy(spark):
-    """Two items are rated by everybody; with 120 ratings per task each is trained in
-    three shares. Ids are texts."""
+def test_hot_items_are_as_accurate_as_others(spark):
+    """Two items are rated by everybody. Ids are texts."""
     rng = np.random.default_rng(1)
     p, q = rng.normal(size=(300, 2)), rng.normal(size=(40, 2))
     data = spark.createDataFrame(
@@ -87,17 +86,37 @@ def test_hot_items_are_split_without_losing_accuracy(spark):
         "user_id string, item_id string, rating double",
     )
     train, test = factors.split(data)
-    counts = [r["n"] for r in train.groupBy("item_id").agg(F.count("*").alias("n")).collect()]
-    assert sum(n > 120 for n in counts) == 2
-    hot = test.filter(F.col("item_id").isin("i0", "i1"))
-    rmse = {}
-    for size in (1000, 120):
-        model = factors.train_cf(train, rank=3, iterations=8, reg=0.05, per_index=size)
-        assert model.items.count() == 40 and model.users.count() == 300
-        for name, part in (("all", test), ("hot", hot)):
-            rmse[size, name] = factors.evaluate(factors.predict(model, part)).first()["rmse"]
-    assert rmse[120, "all"] < 1.2 * rmse[1000, "all"]
-    assert rmse[120, "hot"] < 1.5 * rmse[1000, "hot"]
+    model = factors.train_cf(train, rank=3, iterations=8, reg=0.05)
+    assert model.items.count() == 40 and model.users.count() == 300
+    hot = F.col("item_id").isin("i0", "i1")
+    rmse = [
+        factors.evaluate(factors.predict(model, test.filter(part))).first()["rmse"]
+        for part in (hot, ~hot)
+    ]
+    assert rmse[0] < 1.2 * rmse[1]
+
+
+def test_cold_users_get_the_popular_items(spark):
+    rated = spark.createDataFrame(
+        [("a", 1), ("b", 1), ("b", 2), ("c", 3)], "user_id string, item_id int"
+    )
+    known = spark.createDataFrame(
+        [("a", 9, 0.5, 1)], "user_id string, item_id int, score double, rank int"
+    )
+    users = spark.createDataFrame([("a",), ("new",), ("new",)], "user_id string")
+    got = factors.with_popular(known, users, rated, k=2).collect()
+    assert sorted((r["user_id"], r["item_id"], r["rank"]) for r in got) == [
+        ("a", 9, 1),
+        ("new", 1, 1),
+        ("new", 2, 2),
+    ]
+
+
+def test_fit_best_refits_the_best_choice(spark):
+    grid = {"rank": [2], "iterations": [3], "reg": [0.05, 5.0]}
+    model, choice, errors = factors.fit_best(planted(spark, 20, 20), grid)
+    assert choice == {"rank": 2, "iterations": 3, "reg": 0.05}
+    assert model.items.count() == 20 and errors.first()["rmse"] > 0
 
 
 def test_top_unseen_is_the_best_of_all_predictions(spark):
