@@ -45,12 +45,16 @@ def documentaries(df: DataFrame) -> DataFrame:
     return df.filter(list_contains("genres", "Documentary"))
 
 
-def facet_values(df: DataFrame, column: str, desc: bool = False) -> DataFrame:
-    """Sorted distinct values offered for a filter; list columns by element, no nulls."""
+def facet_values(
+    df: DataFrame, column: str, desc: bool = False, in_order: bool = True
+) -> DataFrame:
+    """Distinct values offered for a filter, sorted for display unless not ``in_order``;
+    list columns by element, no nulls."""
     is_list = df.schema[column].dataType.typeName() == "array"
     value = F.explode(column) if is_list else F.col(column)
     order = F.col("value").desc() if desc else F.col("value").asc()
-    return df.select(value.alias("value")).dropna().distinct().orderBy(order)
+    values = df.select(value.alias("value")).dropna().distinct()
+    return values.orderBy(order) if in_order else values
 
 
 def sample_n(df: DataFrame, n: int, seed: int | str, id_col: str) -> DataFrame:

@@ -139,7 +139,7 @@ def facets(t: Tables) -> DataFrame:
     films = parts(t)
     columns = ["genres", "actor_actress", "producer", "startYear", "original_language"]
     lists = [
-        search.facet_values(films, c, desc=c == "startYear").select(
+        search.facet_values(films, c, in_order=False).select(
             F.lit(c).alias("facet"), F.col("value").cast("string").alias("value")
         )
         for c in columns
@@ -169,6 +169,41 @@ def themed(t: Tables) -> DataFrame:
     )
 
 
+_THEMED_SQL = """
+themed AS (SELECT p_partkey AS id, p_type AS kind, split_part(p_name, ' ', 1) AS word,
+  p_size * 3 AS minutes FROM part WHERE p_size > 10)
+"""
+
+
+@query(
+    f"""
+WITH {_THEMED_SQL},
+found AS (SELECT id FROM themed WHERE kind = 'SMALL' AND minutes <= 120 AND minutes >= 90)
+SELECT id, (SELECT count(*) FROM found) AS n_found FROM found
+ORDER BY md5('11|' || CAST(id AS VARCHAR)), id LIMIT 20
+"""
+)
+def documentary_search(t: Tables) -> DataFrame:
+    """Documentaries by theme and length."""
+    films = search.documentaries(themed(t)).join(
+        t.part.select(F.col("p_partkey").alias("id"), (F.col("p_size") * 3).alias("runtimeMinutes")),
+        "id",
+    )
+    found = search.filter_search(films, n=20, seed=11, genre="SMALL", duration="90-120 min")
+    return found.select("id", "n_found")
+
+
+@query(
+    f"""
+WITH {_THEMED_SQL}
+SELECT DISTINCT unnest(['Documentary', kind, word]) AS value FROM themed
+"""
+)
+def documentary_facets(t: Tables) -> DataFrame:
+    """Themes offered for documentaries."""
+    return search.facet_values(search.documentaries(themed(t)), "genres")
+
+
 def fans(t: Tables) -> DataFrame:
     """Customers with themes by market segment; some have none, some match nothing."""
     return t.customer.select(
