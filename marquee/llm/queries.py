@@ -69,10 +69,42 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
-        F.transform("cuts", lambda c: F.concat_ws(":", c["start"], c["end"])).alias("cuts"),
     )
 
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+sql(
+    "op1_decontaminate",
+    rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all({LOWER}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w]
+    ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS win
+  FROM items),
+sizes AS (SELECT DISTINCT len(win) AS n FROM wins),
+placed AS (
+  SELECT doc_id, n, unnest(range(0, len(w) - n + 1)) AS pos,
+    unnest(list_transform(range(1, len(w) - n + 2), lambda i: w[i:i + n - 1])) AS win
+  FROM words, sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, pos, n, item_id FROM placed JOIN wins USING (win)),
+covered AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS k FROM (SELECT DISTINCT doc_id, pos, n FROM hits))
+  GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL)
+  GROUP BY doc_id)
+SELECT w.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words w LEFT JOIN covered c ON c.doc_id = w.doc_id LEFT JOIN listed l ON l.doc_id = w.doc_id
+""",
+)
+
+
 def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
