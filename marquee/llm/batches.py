@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def slices(
@@ -29,6 +29,8 @@ def slices(
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)
+        # A worker lives on after its task; what it no longer needs goes back.
+        pa.default_memory_pool().release_unused()
 
 
 def strings(column: pa.Array) -> pa.Array:

@@ -160,7 +160,7 @@ def sketches(docs: DataFrame, bands: Bands, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = set()
-        for part in slices(batches, "text", 4 << 20):
+        for part in slices(batches, "text"):
             nodes, sizes, keys = [], [], []
             for shingles in shingle_sets(strings(part.column("text")), width):
                 sizes.append(len(shingles))
@@ -211,7 +211,7 @@ def wanted_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             at = batch.column("bit").to_numpy(zero_copy_only=False).astype(np.int64)
             is_in = flags[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
             picked = batch.filter(pa.array(is_in.astype(bool)))
-            for part in slices([picked], "text", 4 << 20):
+            for part in slices([picked], "text"):
                 sets = [s for s in shingle_sets(strings(part.column("text")), width) if len(s)]
                 found = np.array([fingerprint(s) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(

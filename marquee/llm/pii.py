@@ -226,7 +226,8 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
             both = np.unique(owner * len(term) + code[is_in])
             df = np.bincount(both % len(term), minlength=len(term))
             some = np.flatnonzero(df)
-            counted = counted.add(pd.Series(df[some], term[some]), fill_value=0)
+            own = pd.Series(df[some], term[some]).groupby(level=0).sum()
+            counted = counted.add(own, fill_value=0)
             if len(counted) > COUNTED:
                 yield out()
                 counted = pd.Series(dtype=np.int64)
