@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee import session, sizing, sources, streaming
@@ -95,3 +96,23 @@ def test_rating_stream(spark, tmp_path, rows):
     )
     query.awaitTermination()
     assert rows(spark.table("live"), "user_id", "item_id", "rating") == want
+
+
+class _Context:
+    def __init__(self, master):
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+
+class _Session:
+    def __init__(self, master):
+        self.sparkContext = _Context(master)
+        self.conf = {}
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_needs_a_shared_folder(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(_Session(master))
