@@ -2,8 +2,8 @@
 
 Base spans come from patterns. What a term near a value discloses of it is estimated from
 how often the two occur together over the whole corpus: pointwise mutual information as a
-share of the value's own information. Terms above one threshold are generalised, above a
-higher one removed.
+share of the value's own information, by a lower bound so that few documents say little.
+Terms above one threshold are generalised, above a higher one removed.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ METHOD = ("remove", "generalise")
 ORDER = [*KINDS, *METHOD]
 #: Terms within so many words of a value are its context.
 REACH = 10
-#: Documents a term and a value must share before their co-occurrence means anything.
-MIN_DOCUMENTS = 3
+#: Standard errors that the lower bound is below what was counted.
+ERRORS = 1.0
 GENERALISE, REMOVE = 0.5, 0.8
 #: Bits of the filter of candidate terms; a bound on what is broadcast (4 MB).
 FILTER_BITS = 1 << 25
@@ -238,25 +238,30 @@ def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("n").alias("df")).join(terms, "term", "left_semi")
 
 
-def disclosing(docs: DataFrame, found: DataFrame, min_documents: int, generalise: float, remove: float) -> DataFrame:
+def least_share(m: Column, df: Column) -> Column:
+    """Wilson's lower bound of the share of a term's ``df`` documents that have the value,
+    from the ``m`` that were seen to."""
+    z = ERRORS * ERRORS
+    return (m + z / 2 - ERRORS * F.sqrt(m * (df - m) / df + z / 4)) / (df + z)
+
+
+def disclosing(docs: DataFrame, found: DataFrame, generalise: float, remove: float) -> DataFrame:
     """(entity, term, action) of the terms that give a value away.
 
     With N documents, the value in c of them, the term in t and both together in m, the
-    term discloses log(N m / (c t)) of the value's log(N / c); the share decides.
+    term discloses log(N p / c) of the value's log(N / c), where p is the lower bound of
+    m / t; the share decides. Every pair counts, one seen in a single document too.
     """
     n = found.count()
-    together = (
-        found.select(F.inline("pairs"))
-        .groupBy("entity", "term")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .filter(F.col("m") >= min_documents)
+    together = found.select(F.inline("pairs")).groupBy("entity", "term").agg(
+        F.count(F.lit(1)).alias("m")
     )
     together = landed(together, "pairs")
     own = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("c")
     )
     seen = document_counts(docs, together.select("term").distinct())
-    share = 1 - F.log2(F.col("df") / F.col("m")) / F.log2(F.lit(n) / F.col("c"))
+    share = 1 + F.log2(least_share(F.col("m"), F.col("df"))) / F.log2(F.lit(n) / F.col("c"))
     action = F.when(share >= remove, "remove").when(share >= generalise, "generalise")
     return (
         together.join(own, "entity")
@@ -271,7 +276,6 @@ def find(
     docs: DataFrame,
     *,
     keep: list[str] | None = None,
-    min_documents: int = MIN_DOCUMENTS,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -289,7 +293,7 @@ def find(
     """
     kept = ["doc_id"] if keep is None else keep
     found = landed(mentions(docs, kept), "mentions")
-    actions = disclosing(docs, found, min_documents, generalise, remove)
+    actions = disclosing(docs, found, generalise, remove)
     rank = F.array_position(F.array(*[F.lit(k) for k in ORDER]), F.col("kind"))
     more = (
         found.select("row", F.inline("contexts"))

@@ -51,6 +51,25 @@ def test_disclosing_terms(make):
     assert all(not found[k]["spans"] for k in found if k >= 10)
 
 
+def test_values_of_one_or_two_documents(make):
+    """No number of documents is too few; a pair seen once counts for less than its share."""
+    rows = [(1, "ask Quorvix at the Mill for a@b.cd"), (2, "ask Bramlet at the Mill for e@f.gh")]
+    rows += [(3, "ask Bramlet at the Mill for e@f.gh")]
+    rows += [(10 + k, f"ask at the Mill{' for Tilsen' if k < 8 else ''} today {k}") for k in range(150)]
+    rows += [(200 + k, "wait for nothing at all") for k in range(50)]
+    rows += [(300, "ask Tilsen for i@j.kl")]
+    found = {r["doc_id"]: r for r in pii.find(make(rows), keep=["doc_id", "text"]).collect()}
+
+    def marked(k):
+        return {(s["kind"], found[k]["text"][s["start"] : s["end"]]) for s in found[k]["spans"]}
+
+    assert marked(1) == {("email", "a@b.cd"), ("remove", "Quorvix")}
+    assert marked(2) == marked(3) == {("email", "e@f.gh"), ("remove", "Bramlet")}
+    # One of Tilsen's 9 documents has the value: 0.59 of its information, but 0.41 at least.
+    assert marked(300) == {("email", "i@j.kl")}
+    assert not any(found[k]["spans"] for k in found if 10 <= k < 300)
+
+
 def test_odd_rows(make, odd):
     assert pii.find(make(odd, clash=True), keep=["doc_id", "row"]).count() == len(odd)
     assert all(not r["spans"] for r in pii.find(make(odd)).collect())
