@@ -1,9 +1,9 @@
 """Personal data: patterns, and terms that give a protected value away.
 
-Base spans come from patterns. What a term near a value discloses of it is estimated from
-how often the two occur together over the whole corpus: pointwise mutual information as a
-share of the value's own information, by a lower bound so that few documents say little.
-Terms above one threshold are generalised, above a higher one removed.
+Base spans come from patterns. What a term discloses of a value in its document is
+estimated from how many documents of the corpus have the two together: pointwise mutual
+information as a share of the value's own information, by a lower bound so that few
+documents say little. Terms above one threshold are generalised, above a higher one removed.
 """
 
 from __future__ import annotations
@@ -26,9 +26,6 @@ from marquee.session import landed
 
 KINDS = ("email", "ip", "card", "phone")
 METHOD = ("remove", "generalise")
-ORDER = [*KINDS, *METHOD]
-#: Terms within so many words of a value are its context.
-REACH = 10
 #: Standard errors that the lower bound is below what was counted.
 ERRORS = 1.0
 GENERALISE, REMOVE = 0.5, 0.8
@@ -38,8 +35,7 @@ FILTER_BITS = 1 << 25
 COUNTED = 200_000
 
 SPAN = "array<struct<kind:string,start:int,end:int>>"
-CONTEXT = "array<struct<entity:bigint,term:bigint,start:int,end:int>>"
-PAIR = "array<struct<entity:bigint,term:bigint>>"
+SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 # Loops are possessive where nothing that follows could begin with what they eat, so that
 # no text takes more than linear time.
@@ -107,72 +103,48 @@ def hashes(words: list[str]) -> np.ndarray:
     return pd.util.hash_array(np.array(words, object), categorize=False).view(np.int64)
 
 
-def contexts(text: str, spans: list[tuple[str, int, int, str]]) -> list[tuple[str, str, int, int]]:
-    """(value, term, start, end) of the terms around every base span, those inside any
-    base span left out."""
+def outside(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of every term of a text that isn't inside one of ``spans``."""
     terms = [m.span() for m in _TERM.finditer(text)]
     starts = [a for a, _ in terms]
     ends = [b for _, b in terms]
     inside = set()
-    for _, a, b, _ in spans:
+    for a, b in spans:
         inside.update(range(bisect_left(ends, a + 1), bisect_left(starts, b)))
-    out = []
-    for kind, a, b, value in spans:
-        first, after = bisect_left(ends, a + 1), bisect_left(starts, b)
-        near = [*range(max(0, first - REACH), first), *range(after, min(len(terms), after + REACH))]
-        for k in near:
-            if k not in inside:
-                x, y = terms[k]
-                out.append((f"{kind}:{value}", text[x:y].translate(_LOWER), x, y))
-    return out
+    return [(text[x:y].translate(_LOWER), x, y) for k, (x, y) in enumerate(terms) if k not in inside]
 
 
 def mentions(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """row (a unique number), the columns in ``keep``, base spans, entities, contexts and
-    the different (entity, term) pairs among them."""
-    own = ["row", "spans", "entities", "contexts", "pairs"]
+    """row (a unique number), the columns in ``keep``, base spans, entities, the different
+    terms outside the spans, and the text; terms and text only where there are spans."""
+    own = ["row", "spans", "entities", "terms", "held"]
     fields = [f for f in without(docs.schema, own) if f.name in keep]
-    added = [("row", "bigint"), ("spans", SPAN), ("entities", "array<bigint>"), ("contexts", CONTEXT), ("pairs", PAIR)]
+    added = [("row", "bigint"), ("spans", SPAN), ("entities", "array<bigint>"), ("terms", "array<bigint>"), ("held", "string")]
     schema = T.StructType(
         [*fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in added]]
     )
     names = schema.names
-    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    pair = [("entity", pa.int64()), ("term", pa.int64())]
-    context = pa.list_(pa.struct([*pair, ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for part in slices(batches, "text"):
-            shown, near = [], []
+            shown, held, entities, terms = [], [], [], []
             for text in part.column("text").to_pylist():
                 found = base_spans(text) if text else []
                 shown.append([{"kind": k, "start": a, "end": b} for k, a, b, _ in found])
-                near.append(contexts(text, found) if found else [])
-            flat = [c for own in near for c in own]
-            # Values and terms are hashed together, then dealt back to their rows.
-            value = hashes([c[0] for c in flat]) if flat else np.zeros(0, np.int64)
-            term = hashes([c[1] for c in flat]) if flat else np.zeros(0, np.int64)
-            entities, placed, pairs, at = [], [], [], 0
-            for own in near:
-                v, t = value[at : at + len(own)].tolist(), term[at : at + len(own)].tolist()
-                at += len(own)
-                entities.append(sorted(set(v)))
-                pairs.append([{"entity": a, "term": b} for a, b in sorted(set(zip(v, t, strict=True)))])
-                placed.append(
-                    [
-                        {"entity": a, "term": b, "start": c[2], "end": c[3]}
-                        for a, b, c in zip(v, t, own, strict=True)
-                    ]
-                )
+                held.append(text if found else None)
+                values = list({f"{kind}:{value}" for kind, _, _, value in found})
+                words = list({t for t, _, _ in outside(text, [(a, b) for _, a, b, _ in found])}) if found else []
+                entities.append(hashes(values) if values else [])
+                terms.append(hashes(words) if words else [])
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(f.name) for f in fields],
                     pa.array(np.arange(row, row + part.num_rows), pa.int64()),
-                    pa.array(shown, span),
+                    pa.array(shown, SPANS),
                     pa.array(entities, pa.list_(pa.int64())),
-                    pa.array(placed, context),
-                    pa.array(pairs, pa.list_(pa.struct(pair))),
+                    pa.array(terms, pa.list_(pa.int64())),
+                    pa.array(held, pa.string()),
                 ],
                 names=names,
             )
@@ -246,30 +218,81 @@ def least_share(m: Column, df: Column) -> Column:
 
 
 def disclosing(docs: DataFrame, found: DataFrame, generalise: float, remove: float) -> DataFrame:
-    """(entity, term, action) of the terms that give a value away.
+    """(row, judged): the terms of each document that give one of its values away, as an
+    array of (term, action).
 
     With N documents, the value in c of them, the term in t and both together in m, the
     term discloses log(N p / c) of the value's log(N / c), where p is the lower bound of
     m / t; the share decides. Every pair counts, one seen in a single document too.
+
+    Values that the same documents have are alike in c and m with any term and count as
+    one, so a list of many values costs no more than one. As p is m / t and so c / t at
+    most, terms in more documents than that allows are left out before pairs are made.
     """
     n = found.count()
-    together = found.select(F.inline("pairs")).groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("m")
+    values = found.select("row", F.explode("entities").alias("entity"))
+    known = (
+        values.groupBy("entity")
+        .agg(
+            F.count(F.lit(1)).alias("c"),
+            F.bit_xor(F.xxhash64("row")).alias("a"),
+            F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b"),
+        )
+        .filter(F.col("c") < n)
+        .select("entity", "c", F.xxhash64("c", "a", "b").alias("alike"))
     )
-    together = landed(together, "pairs")
-    own = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("c")
+    most = F.col("c") * F.pow(F.lit(n) / F.col("c"), F.lit(1 - min(generalise, remove))) * (1 + 1e-9)
+    held = landed(
+        values.join(known, "entity").select("row", "alike", "c", most.alias("most")).distinct(), "values"
+    )
+    top = held.agg(F.max("most").alias("top")).first()["top"] or 0.0
+    terms = found.select("row", F.explode("terms").alias("term"))
+    seen = document_counts(docs, terms.select("term").distinct()).filter(F.col("df") <= top)
+    pairs = landed(
+        terms.join(seen, "term").join(held, "row").filter("df <= most").select("row", "alike", "term", "c", "df"),
+        "pairs",
     )
-    seen = document_counts(docs, together.select("term").distinct())
     share = 1 + F.log2(least_share(F.col("m"), F.col("df"))) / F.log2(F.lit(n) / F.col("c"))
     action = F.when(share >= remove, "remove").when(share >= generalise, "generalise")
-    return (
-        together.join(own, "entity")
-        .join(seen, "term")
-        .filter(F.col("c") < n)
-        .select("entity", "term", action.alias("action"))
+    actions = (
+        pairs.groupBy("alike", "term")
+        .agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c"), F.min("df").alias("df"))
+        .select("alike", "term", action.alias("action"))
         .filter("action is not null")
     )
+    return (
+        pairs.join(actions, ["alike", "term"])
+        .groupBy("row", "term")
+        .agg(F.max("action").alias("action"))  # "remove" sorts after "generalise"
+        .groupBy("row")
+        .agg(F.collect_list(F.struct("term", "action")).alias("judged"))
+    )
+
+
+def marked(docs: DataFrame) -> DataFrame:
+    """(row, more): every occurrence in ``held`` of the ``judged`` terms, outside ``spans``,
+    by kind and start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "held"):
+            more = []
+            for text, spans, judged in zip(
+                *[part.column(c).to_pylist() for c in ("held", "spans", "judged")], strict=True
+            ):
+                actions = {j["term"]: j["action"] for j in judged}
+                placed = outside(text, [(s["start"], s["end"]) for s in spans])
+                kinds = [actions.get(t) for t in hashes([p[0] for p in placed]).tolist()]
+                more.append(
+                    [
+                        {"kind": kind, "start": a, "end": b}
+                        for kind in METHOD
+                        for k, (_, a, b) in zip(kinds, placed, strict=True)
+                        if k == kind
+                    ]
+                )
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(more, SPANS)], names=["row", "more"])
+
+    return docs.select("row", "held", "spans", "judged").mapInArrow(run, f"row bigint, more {SPAN}")
 
 
 def find(
@@ -283,9 +306,9 @@ def find(
     and spans, an array of (kind, start, end) in code points by kind and start.
 
     Kinds ``email``, ``ip``, ``card`` and ``phone`` are base matches. ``remove`` and
-    ``generalise`` are terms within ``REACH`` words of one that disclose its value by
-    themselves; a term judged both ways is removed. They are only marked in documents that
-    have the value, so a document without base matches has no spans.
+    ``generalise`` are terms that disclose a value of the same document by themselves,
+    wherever they stand in it; a term judged both ways is removed. They are only marked in
+    documents that have the value, so a document without base matches has no spans.
 
     A null text has no spans. Rows alike count as documents of their own. Columns in
     ``keep`` named like the result's or ``row`` are replaced. An empty table gives no rows.
@@ -293,25 +316,12 @@ def find(
     """
     kept = ["doc_id"] if keep is None else keep
     found = landed(mentions(docs, kept), "mentions")
-    actions = disclosing(docs, found, generalise, remove)
-    rank = F.array_position(F.array(*[F.lit(k) for k in ORDER]), F.col("kind"))
-    more = (
-        found.select("row", F.inline("contexts"))
-        .join(actions, ["entity", "term"])
-        .groupBy("row", "start", "end")
-        .agg(F.max("action").alias("kind"))  # "remove" sorts after "generalise"
-        .groupBy("row")
-        .agg(
-            F.sort_array(F.collect_list(F.struct(rank.alias("rank"), "kind", "start", "end"))).alias("more")
-        )
-    )
-    added = F.transform(
-        "more", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
-    )
-    names = [c for c in found.columns if c not in ("row", "spans", "entities", "contexts", "pairs")]
-    return found.drop("entities", "contexts", "pairs").join(more, "row", "left").select(
+    judged = disclosing(docs, found, generalise, remove)
+    more = marked(found.filter("held is not null").join(judged, "row"))
+    names = [c for c in found.columns if c not in ("row", "spans", "entities", "terms", "held")]
+    return found.drop("entities", "terms", "held").join(more, "row", "left").select(
         *[F.col(f"`{c}`") for c in names],
-        F.concat("spans", F.coalesce(added, F.array().cast(SPAN))).alias("spans"),
+        F.concat("spans", F.coalesce("more", F.array().cast(SPAN))).alias("spans"),
     )
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -70,6 +71,57 @@ def test_values_of_one_or_two_documents(make):
     assert not any(found[k]["spans"] for k in found if 10 <= k < 300)
 
 
+def test_terms_far_from_a_value(make):
+    """Judged terms are marked wherever they stand, and counted however far off they are."""
+    far = "the weather of today is fine " * 20
+    rows = [(k, f"Zorblat wrote: zed@mail.org, +1 (234) 555-0199 {far} ask Zorblat. {far} ask Plimsy") for k in range(3)]
+    rows += [(100 + k, f"{far} ask who wrote: nobody a{k}") for k in range(300)]
+    found = {r["doc_id"]: r for r in pii.find(make(rows), keep=["doc_id", "text"]).collect()}
+    text = found[0]["text"]
+    places = [(w, m.start(), m.end()) for w in ("Zorblat", "Plimsy") for m in re.finditer(w, text)]
+    assert len(places) == 3
+    for k in range(3):
+        spans = [tuple(s) for s in found[k]["spans"]]
+        assert [s[0] for s in spans[:2]] == ["email", "phone"]
+        assert spans[2:] == [("remove", a, b) for _, a, b in sorted(places, key=lambda p: p[1])]
+    assert not any(found[k]["spans"] for k in found if k >= 100)
+
+
+def test_against_a_plain_version(make):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(60)]
+    values = [f"u{k}@x.yz" for k in range(6)] + ["10.0.0.1", "10.0.0.2"]
+    texts = []
+    for _ in range(120):
+        text = rng.choices(words, [1 / (k + 1) for k in range(60)], k=rng.randint(1, 30))
+        for _ in range(rng.choice((0, 0, 1, 3))):
+            k = rng.randrange(len(values))
+            text.insert(rng.randint(0, len(text)), values[k])
+            text += [f"name{k}"] * rng.randint(0, 2)
+        texts.append(" ".join(text))
+    docs = [set(t.split()) for t in texts]
+    n = len(docs)
+
+    def action(value, term):
+        c, df = (sum(x in d for d in docs) for x in (value, term))
+        m = sum(value in d and term in d for d in docs)
+        low = (m + 0.5 - math.sqrt(m * (df - m) / df + 0.25)) / (df + 1)
+        share = math.log(n * low / c) / math.log(n / c)
+        return (share >= pii.GENERALISE) + (share >= pii.REMOVE)
+
+    expected = {}
+    for k, (text, own) in enumerate(zip(texts, docs, strict=True)):
+        held = own & set(values)
+        for t in own - set(values):
+            if best := max((action(v, t) for v in held), default=0):
+                kind = ("generalise", "remove")[best - 1]
+                expected.setdefault(k, set()).update((kind, *m.span()) for m in re.finditer(rf"\b{t}\b", text))
+    found = pii.find(make(list(enumerate(texts)))).collect()
+    assert len({s[0] for own in expected.values() for s in own}) == 2
+    for r in found:
+        assert {tuple(s) for s in r["spans"] if s["kind"] in pii.METHOD} == expected.get(r["doc_id"], set())
+
+
 def test_odd_rows(make, odd):
     assert pii.find(make(odd, clash=True), keep=["doc_id", "row"]).count() == len(odd)
     assert all(not r["spans"] for r in pii.find(make(odd)).collect())
