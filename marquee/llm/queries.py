@@ -13,10 +13,13 @@ from marquee.llm import (
     jaccard,
     langid,
     linededup,
+    merkle,
     packing,
     pii,
     quality,
+    runs,
     secrets,
+    toxicity,
     training_order,
 )
 
@@ -367,3 +370,166 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.order(table(spark, sf_dir, "documents"))
+
+
+def toxic_held_out() -> F.Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.filter(~toxic_held_out()), labels.filter(~toxic_held_out()))
+    found = toxicity.predict(docs, model, keep=["doc_id"])
+    return found.select("doc_id", toxic_held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document, by a checksum of its id, is tampered with after the manifest
+    was made: its folded root must not be the root any more."""
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    changed = F.translate("text", upper, lower)
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.leaf(*fields, F.col("text")).alias("leaf"),
+        F.when(
+            F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf(*fields, changed)
+        ).alias("tampered"),
+    )
+    found = merkle.manifest(leaves, carry=["tampered"])
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(merkle.siblings(F.col("path")), ""), 256).alias("proof_sha256"),
+        root.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql() -> str:
+    """A manifest in plain SQL, for groups of up to 16 ** 6 documents and as many groups."""
+    h = 6
+    whole = "concat_ws('', " + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+        for c in ("doc_id", "source", "lang", "n_chars", "TEXT")
+    ) + ")"
+    changed = whole.replace(
+        "TEXT", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    bit = "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(s, x), range(8)), {bit})"
+    parts = [
+        f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, sha256({whole.replace("TEXT", "text")}) AS leaf,
+    CASE WHEN xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      string_split(doc_id::VARCHAR, ''), lambda t: ascii(t)::BIGINT)), lambda s, x: {byte}),
+      4294967295) % 5 = 0 THEN sha256({changed}) END AS tampered
+  FROM documents),
+g0 AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+    count(*) OVER (PARTITION BY source) AS n FROM rows),
+a0 AS (SELECT source, n, rank AS i, leaf AS v FROM g0)"""
+    ]
+
+    def climb(level: str, keys: str) -> None:
+        for k in range(h):
+            parts.append(
+                f"""
+{level}{k}r AS (
+  SELECT {keys}n, i // 16 AS i, list(v ORDER BY i) AS vs FROM {level}{k}
+  GROUP BY {keys}n, i // 16),
+{level}{k + 1} AS (
+  SELECT {keys}n, i, CASE WHEN n > {16**k} THEN sha256(array_to_string(vs, '')) ELSE vs[1] END AS v
+  FROM {level}{k}r)"""
+            )
+
+    climb("a", "source, ")
+    parts.append(
+        f"""
+b0 AS (
+  SELECT source, v, count(*) OVER () AS n,
+    row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM a{h})"""
+    )
+    climb("b", "")
+    parts.append(
+        f"""
+w0 AS (
+  SELECT g.doc_id, g.source, leaf, b0.v AS subroot, (SELECT v FROM b{h}) AS root, g.rank, g.n,
+    b0.i AS place, b0.n AS n_groups, '' AS proof, coalesce(tampered, leaf) AS own
+  FROM g0 g JOIN b0 ON b0.source IS NOT DISTINCT FROM g.source)"""
+    )
+    for step in range(2 * h):
+        k = step % h
+        below, rank, n = (("a", "rank", "n") if step < h else ("b", "place", "n_groups"))
+        same = "r.source IS NOT DISTINCT FROM w.source AND " if step < h else ""
+        at = f"(w.{rank} // {16**k} % 16)"
+        parts.append(
+            f"""
+w{step + 1} AS (
+  SELECT w.* EXCLUDE (proof, own),
+    CASE WHEN w.{n} > {16**k} THEN proof || array_to_string(vs[1:{at}], '')
+      || array_to_string(vs[{at} + 2:], '') ELSE proof END AS proof,
+    CASE WHEN w.{n} > {16**k} THEN sha256(array_to_string(vs[1:{at}], '') || own
+      || array_to_string(vs[{at} + 2:], '')) ELSE own END AS own
+  FROM w{step} w JOIN {below}{k}r r ON {same}r.i = w.{rank} // {16 ** (k + 1)})"""
+        )
+    return ",".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, own AS folded_root,
+  own = root AS verified FROM w{2 * h}"""
+
+
+sql("op12_merkle", _merkle_sql())
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """Documents (doc_id, text); where a checksum of the id ends in 0, the words of the text
+    joined by spaces, with a stretch of them repeated up to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    step = docs.select(
+        "doc_id", "text", h.alias("h"), F.when(h % 10 == 0, quality.split_words(F.col("text"))).alias("w")
+    )
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    step = step.withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    step = step.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    w, a, p = F.col("w"), F.col("a"), F.col("p")
+    altered = F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, a + (i - a) % p)))
+    return step.select(
+        "doc_id", F.when(n > 0, F.array_join(altered, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted(table(spark, sf_dir, "documents"))
+    found = runs.find(docs, keep=["doc_id"])
+    best = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                r["length"].alias("length"),
+                (-r["start"]).alias("start"),
+                (-r["period"]).alias("period"),
+            ),
+        )
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
