@@ -6,10 +6,10 @@ vectors and events the ratings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators import factors, ratings, recommend
+from marquee.operators import factors, ratings, recommend, sgd
 from marquee.plans.bindings.registry import Tables, query
 from marquee.session import landed
 
@@ -247,19 +247,26 @@ def top_unseen(t: Tables) -> DataFrame:
     return factors.top_unseen(given_model(t, train), train)
 
 
-@query(
-    """
-SELECT * FROM (VALUES (1, 40, 10, 1.0::DOUBLE), (2, 40, 10, 0.1::DOUBLE))
-  v(position, rank, iterations, reg)
-"""
-)
+@query()
+def train_sgd(t: Tables) -> DataFrame:
+    """Held-out errors of the model learned by gradient descent, and of the mean alone."""
+    train, test = parts(t)
+    model = sgd.train_sgd(train)
+    nothing = factors.FactorModel(
+        model.mean, model.users.filter("false"), model.items.filter("false")
+    )
+    rows = [
+        factors.evaluate(factors.predict(m, test)).select(F.lit(name).alias("model"), "rmse", "mae")
+        for name, m in (("mean", nothing), ("factors", model))
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query()
 def tune(t: Tables) -> DataFrame:
-    """Choices by error over the folds of the training part. These ratings are random, so
-    the choice that learns less of their noise must come first."""
+    """Cross-validated errors of every choice of rank and regularisation, best first."""
     train, _ = parts(t)
-    scores = factors.tune(train, {"rank": [40], "iterations": [10], "reg": [0.1, 1.0]})
-    place = F.row_number().over(Window.orderBy("rmse"))
-    return scores.select(place.alias("position"), "rank", "iterations", "reg")
+    return sgd.tune(train, {"rank": [40], "rate": [0.005], "reg": [0.02, 0.025]}, blocks=2)
 
 
 def item_factors(t: Tables) -> DataFrame:

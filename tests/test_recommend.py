@@ -31,6 +31,33 @@ def test_top_scores_is_brute_force_for_any_blocks(spark, per_block):
         assert got[user] == [(i, -s) for s, i in ranked]
 
 
+@pytest.mark.parametrize("clip", [None, (-2.0, 9.0)])
+def test_bounds_skip_blocks_and_lose_nothing(spark, clip):
+    """Norms fall fast: most pairs of a query and a block never meet, and the rows are
+    those of brute force; some queries keep more rows than others."""
+    rng = np.random.default_rng(5)
+    users = {i: rng.normal(size=6) for i in range(40)}
+    items = {i: rng.normal(size=6) * 20 / (1 + i % 200) for i in range(400)}
+    more = {i: i % 3 for i in users}
+    asked = vectors(spark, users, "user_id").withColumn("more", F.col("user_id") % 3)
+    report = []
+    best = factors.top_scores(
+        asked, vectors(spark, items, "item_id"), 4, clip=clip, extra="more",
+        items_per_block=10, queries_per_block=16, report=report,
+    )
+    got = {}
+    for r in best.orderBy("user_id", F.desc("score"), "item_id").collect():
+        got.setdefault(r["user_id"], []).append((r["item_id"], r["score"]))
+    for user, u in users.items():
+        scores = {i: float(u @ v) for i, v in items.items()}
+        if clip:
+            scores = {i: min(max(x, clip[0]), clip[1]) for i, x in scores.items()}
+        ranked = sorted((-round(x, 6) + 0.0, i) for i, x in scores.items())[: 4 + more[user]]
+        assert got[user] == [(i, -x + 0.0) for x, i in ranked]
+    met, pairs = sum(r["met"] for r in report), 40 * 40
+    assert met < (0.5 if clip is None else 0.8) * pairs
+
+
 def test_fold_in_averages_known_items_only(spark):
     items = vectors(spark, {1: [1, 0], 2: [0, 1], 3: [1, 1]}, "item_id")
     rated = spark.createDataFrame(
