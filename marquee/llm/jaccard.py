@@ -118,11 +118,11 @@ class Bands:
         return size * (self.den - self.num) // self.num
 
     def of(self, size: int) -> list[int]:
-        """Bands a set is in: its own, and that of the largest set it can link with."""
+        """Bands a set is in: from its own to that of the largest set it can link with."""
         if size < self.edges[0]:
             return []
         near = np.searchsorted(self.edges, [size, size * self.den // self.num], side="right")
-        return sorted(set((near - 1).tolist()))
+        return list(range(near[0] - 1, near[1]))
 
     def lanes(self, band: int) -> int:
         """Lanes of a band: what its sets may differ in, 1, and a seventh to choose from."""

@@ -9,6 +9,7 @@ times the bits of a position in the training text for each byte, wins.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,12 @@ LANGUAGES = 200
 GRAIN = 512
 UNKNOWN = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+#: Numerals that are no decimal digits, such as fractions and Roman numerals, count as word
+#: characters but are no letters.
+_NUMERALS = "".join(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()
+)
+_OTHER = re.compile(rf"[\W\d_{_NUMERALS}]+")
 
 
 def normal(text: str) -> bytes:

@@ -16,8 +16,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A line in more documents of one host than this goes.
-MAX_DOCUMENTS = 100
+#: A line in more documents of one host than this share of them, and than the least count,
+#: goes: what every twentieth page has is the site's and not the page's own.
+MAX_PERCENT, LEAST_DOCUMENTS = 5, 4
 #: A document that keeps less than this share of its words, or fewer than MIN_WORDS, goes.
 MIN_LEFT_PERCENT = 50
 
@@ -68,26 +69,36 @@ def with_statistics(rows: DataFrame) -> DataFrame:
     )
 
 
-def frequent_words(docs: DataFrame, max_documents: int) -> DataFrame:
-    """(doc_id, h, n_removed): words in lines that more than ``max_documents`` documents of
-    the same host have. Lines are compared in lower case, without outer white space and
+def frequent_words(docs: DataFrame, max_percent: float, least_documents: int) -> DataFrame:
+    """(doc_id, h, n_removed): words in lines that more than ``max_percent`` of the documents
+    of the same host, and more than ``least_documents``, have. Lines are compared in lower case, without outer white space and
     with every digit as 0, by a 64-bit hash together with their host."""
     line = F.regexp_replace(F.lower(F.btrim("line", F.lit(WHITE))), "[0-9]", "0")
     lines = landed(
         docs.filter("text is not null")
-        .select("doc_id", "host", F.xxhash64("text").alias("h"), F.explode(F.split("text", "\n")).alias("line"))
+        .select("doc_id", F.xxhash64("host").alias("of"), F.xxhash64("text").alias("h"), F.explode(F.split("text", "\n")).alias("line"))
         .select(
             "doc_id",
             "h",
-            F.xxhash64("host", line).alias("key"),
+            "of",
+            F.xxhash64("of", line).alias("key"),
             F.regexp_count("line", F.lit(WORD)).alias("n"),
         )
         .filter("n > 0"),
         "lines",
     )
     # A line counts once for a document, and has the same key wherever it stands in it.
-    once = lines.groupBy("doc_id", "h", "key").agg(F.sum("n").alias("n"))
-    many = once.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > max_documents)
+    once = lines.groupBy("doc_id", "h", "of", "key").agg(F.sum("n").alias("n"))
+    hosts = (
+        docs.select(F.xxhash64("host").alias("of"), "doc_id", F.xxhash64("text").alias("h"))
+        .distinct()
+        .groupBy("of")
+        .agg(F.count(F.lit(1)).alias("size"))
+    )
+    # Nearly all lines are in few documents: what is left to meet the hosts is small.
+    often = once.groupBy("key", "of").agg(F.count(F.lit(1)).alias("m"))
+    often = often.filter(F.col("m") > least_documents).join(hosts, "of")
+    many = often.filter(100 * F.col("m") > max_percent * F.col("size"))
     return (
         once.join(many.select("key"), "key")
         .groupBy("doc_id", "h")
@@ -99,22 +110,23 @@ def judge(
     docs: DataFrame,
     *,
     host: str = "source",
-    max_documents: int = MAX_DOCUMENTS,
+    max_percent: float = MAX_PERCENT,
+    least_documents: int = LEAST_DOCUMENTS,
     min_left_percent: int = MIN_LEFT_PERCENT,
 ) -> DataFrame:
     """Statistics and verdict of every row of ``docs`` (doc_id, text, host).
 
     Result: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_removed
-    (words in lines above the limit), base_failed (fewer than 50 words, or over half of
+    (words in lines above the limit of their host), base_failed (fewer than 50 words, or over half of
     them in repeated three-word windows), kept. A document is kept if it didn't fail and,
     without the removed lines, has 50 words and ``min_left_percent`` of its words.
 
     A null text has no words and so fails; null hosts are one host. Rows alike in doc_id
-    and text count as one document and get the same verdict. Other columns are left out,
+    and text count as one document of their host and get the same verdict. Other columns are left out,
     so their names can't clash. An empty table gives no rows.
     """
     named = docs.select("doc_id", "text", F.col(host).alias("host"))
-    removed = frequent_words(named, max_documents).select(
+    removed = frequent_words(named, max_percent, least_documents).select(
         F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), "n_removed"
     )
     rows = with_statistics(named.select("doc_id", "text", F.xxhash64("text").alias("h")))

@@ -230,8 +230,12 @@ full_lines AS (
   FROM lines WHERE n > 0),
 dup_lines AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
+hosts AS (SELECT source, count(*) AS size FROM documents GROUP BY source),
+often AS (
+  SELECT source, key, count(DISTINCT doc_id) AS m FROM full_lines GROUP BY source, key),
 many AS (
-  SELECT source, key FROM full_lines GROUP BY source, key HAVING count(DISTINCT doc_id) > 100),
+  SELECT o.source, key FROM often o JOIN hosts h ON h.source IS NOT DISTINCT FROM o.source
+  WHERE m > 4 AND 100 * m > 5 * size),
 removed AS (
   SELECT f.doc_id, sum(f.n) AS n FROM full_lines f JOIN many m
   ON m.key = f.key AND m.source IS NOT DISTINCT FROM f.source GROUP BY f.doc_id),
@@ -263,6 +267,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS],
         F.sha2(secrets.spelled(of(*secrets.KINDS)), 256).alias("base_sha256"),
         secrets.spelled(F.col("spans")).alias("spans"),
+        F.array_join(
+            F.transform(
+                of(*secrets.KINDS), lambda s: F.concat_ws(":", s["n_owners"], s["n_repositories"])
+            ),
+            ",",
+        ).alias("owners_repositories"),
     )
 
 
@@ -292,29 +302,35 @@ base AS (
   SELECT doc_id, source, kind, rank, secret, stop - n AS start, stop FROM placed
   WHERE length(secret) >= least),
 owners AS (
-  SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n
+  SELECT secret, count(DISTINCT source) + max(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS n,
+    count(DISTINCT doc_id) AS m
   FROM base GROUP BY secret),
+looks AS (
+  SELECT secret, len(list_distinct(string_split(secret, ''))) >= 8
+    AND 100 * (length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(secret,
+      '[0-9]+', '0', 'g'), '[a-z]+', 'a', 'g'), '[A-Z]+', 'A', 'g'), '[^0aA]+', '-', 'g')) - 1)
+      >= 25 * (length(secret) - 1) AS random
+  FROM owners),
 judged AS (
-  SELECT b.*, CASE WHEN o.n >= 3 THEN 'copied'
-    WHEN o.n = 1 AND len(list_distinct(string_split(b.secret, ''))) >= 8
-      AND regexp_matches(b.secret, '[0-9]') AND regexp_matches(b.secret, '[A-Za-z]')
-      AND NOT regexp_matches(lower(b.secret),
-        'example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345') THEN 'live' END AS verdict
-  FROM base b JOIN owners o ON o.secret = b.secret),
+  SELECT b.*, o.n, o.m, CASE WHEN o.n >= 3 OR o.m > 10 THEN 'copied'
+    WHEN l.random THEN CASE WHEN o.n = 1 AND o.m <= 3 THEN 'live' ELSE 'shared' END END AS verdict
+  FROM base b JOIN owners o ON o.secret = b.secret JOIN looks l ON l.secret = b.secret),
 spans AS (
-  SELECT doc_id, kind, rank, start, stop FROM judged
-  UNION SELECT doc_id, verdict, CASE verdict WHEN 'copied' THEN 4 ELSE 5 END,
-    stop - length(secret), stop FROM judged WHERE verdict IS NOT NULL),
+  SELECT doc_id, kind, rank, start, stop, n, m FROM judged
+  UNION SELECT doc_id, verdict, CASE verdict WHEN 'copied' THEN 4 WHEN 'live' THEN 5 ELSE 6 END,
+    stop - length(secret), stop, n, m FROM judged WHERE verdict IS NOT NULL),
 spelled AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c,
     count(*) FILTER (kind = 'hex') AS x,
     string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ',' ORDER BY start, rank, stop)
       FILTER (rank <= 3) AS b,
+    string_agg(concat(n, ':', m), ',' ORDER BY start, rank, stop) FILTER (rank <= 3) AS o,
     string_agg(concat(kind, ':', start::BIGINT, ':', stop::BIGINT), ',' ORDER BY start, rank, stop)
       AS spans
   FROM spans GROUP BY doc_id)
 SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(x, 0) AS n_hex,
-  sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+  sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(o, '') AS owners_repositories
 FROM documents d LEFT JOIN spelled s ON s.doc_id = d.doc_id
 """.replace("P1", ASSIGN)
     .replace("P2", "'AKIA[A-Z0-9]+'")

@@ -1,7 +1,8 @@
 """Secret scan: patterns in every text, and who owns each candidate over the whole corpus.
 
-Built-in functions only. A candidate that several owners have is a widely copied example;
-one with a single owner that looks random is taken for a live credential.
+Built-in functions only. A candidate that several owners or many repositories have is a
+widely copied example; one of a single owner and few repositories that looks random is taken
+for a live credential, and what lies between is shared by a few.
 """
 
 from __future__ import annotations
@@ -24,15 +25,17 @@ KINDS = {
     # Runs that are too short would be dropped anyway.
     "hex": (r"[0-9a-f]{24,}+", 0, 24),
 }
-METHOD = ("copied", "live")
+METHOD = ("copied", "live", "shared")
 ORDER = [*KINDS, *METHOD]
 PIECES = "array<struct<kind:string,i:int,gap:int,size:int,secret:string>>"
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,n_owners:bigint,n_repositories:bigint>>"
-#: A candidate of this many owners or more is a copied example.
-COPIED_OWNERS = 3
-#: A live secret has so many different characters, digits and letters among them.
-LIVE_DISTINCT = 8
-PLACEHOLDER = "example|sample|dummy|changeme|placeholder|your|xxxx|0000|12345"
+#: A candidate of this many owners or more, or of more repositories than this whoever owns
+#: them, is a copied example; one of one owner and up to so many repositories is its own.
+COPIED_OWNERS, COPIED_REPOSITORIES, OWN_REPOSITORIES = 3, 10, 3
+#: What looks random has so many different characters, and of its pairs of neighbouring
+#: characters this percentage changes between digits, small and capital letters and others:
+#: half of the pairs do in random hex, few in words with a number.
+RANDOM_DISTINCT, RANDOM_CHANGES = 8, 25
 
 
 def _pieces(kind: str) -> Column:
@@ -89,14 +92,15 @@ def matches(docs: DataFrame) -> DataFrame:
     )
 
 
-def looks_live() -> Column:
-    """Digits and letters, enough different characters, and no word of a placeholder."""
+def looks_random() -> Column:
+    """Enough different characters, and enough changes of class between neighbours."""
     different = F.size(F.array_distinct(F.split("secret", "")))
-    return (
-        (different >= LIVE_DISTINCT)
-        & F.col("secret").rlike("[0-9]")
-        & F.col("secret").rlike("[A-Za-z]")
-        & ~F.lower("secret").rlike(PLACEHOLDER)
+    runs = F.col("secret")
+    for pattern, one in (("[0-9]+", "0"), ("[a-z]+", "a"), ("[A-Z]+", "A"), ("[^0aA]+", "-")):
+        runs = F.regexp_replace(runs, pattern, one)
+    changes = F.length(runs) - 1
+    return (different >= RANDOM_DISTINCT) & (
+        100 * changes >= RANDOM_CHANGES * (F.length("secret") - 1)
     )
 
 
@@ -118,13 +122,17 @@ def scan(
     owner: str = "source",
     repository: str = "doc_id",
     copied_owners: int = COPIED_OWNERS,
+    copied_repositories: int = COPIED_REPOSITORIES,
+    own_repositories: int = OWN_REPOSITORIES,
 ) -> DataFrame:
     """Secrets in every row of ``docs`` (doc_id, text, owner, repository).
 
     Result: doc_id and spans, an array of (kind, start, end, n_owners, n_repositories) by
     start, kind and end. Kinds ``assign``, ``access`` and ``hex`` are the base matches.
     The secret inside one gets another span: ``copied`` where ``copied_owners`` different
-    owners or more have it, ``live`` where one owner alone has it and it looks random.
+    owners or more have it, or more than ``copied_repositories`` repositories; otherwise, if
+    it looks random, ``live`` where one owner alone has it in up to ``own_repositories``
+    repositories, and ``shared`` where two owners or more repositories do.
 
     A null text has no spans. Null owners are one owner, null repositories of an owner one
     repository. Rows alike in doc_id and text count as one document of all its owners and
@@ -136,13 +144,15 @@ def scan(
     )
     found = landed(
         matches(named).select(
-            "*", F.xxhash64("secret").alias("value"), F.length("secret").alias("n"), looks_live().alias("live")
+            "*", F.xxhash64("secret").alias("value"), F.length("secret").alias("n"), looks_random().alias("random")
         ).drop("secret"),
         "secrets",
     )
     owned = found.join(ownership(found), "value")
-    verdict = F.when(F.col("n_owners") >= copied_owners, "copied").when(
-        (F.col("n_owners") == 1) & F.col("live"), "live"
+    own = (F.col("n_owners") == 1) & (F.col("n_repositories") <= own_repositories)
+    many = (F.col("n_owners") >= copied_owners) | (F.col("n_repositories") > copied_repositories)
+    verdict = F.when(many, "copied").when(
+        F.col("random"), F.when(own, "live").otherwise("shared")
     )
     counts = ["n_owners", "n_repositories"]
     base = owned.select("doc_id", "h", "kind", "start", "end", *counts)

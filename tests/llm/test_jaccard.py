@@ -116,3 +116,13 @@ def test_components(spark):
     assert len({found[names[1000 + k]] for k in range(100)}) == 1
     assert len(set(found.values())) == 2 and len(found) == 301
     assert components(df.limit(0)).count() == 0
+
+
+def test_sizes_far_apart_below_one_half(make):
+    """At 40/100 a set of 6 links with one of 14, two bands further on."""
+    rows = []
+    for k in range(20):
+        own = [f"p{k}w{i}" for i in range(14)]
+        rows += [(2 * k, " ".join(own[:6])), (2 * k + 1, " ".join(own))]
+    got = {tuple(r) for r in jaccard.link(make(rows), width=1, num=40, den=100).collect()}
+    assert got == {(2 * k + j, (6, 14)[j], 2 * k) for k in range(20) for j in range(2)}

@@ -61,7 +61,10 @@ def test_odd_rows(make, odd):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         else:
             assert r["lang_pred"] in LETTERS
-    assert langid.predict(make([(1, "12 - 34")]), model).first()["lang_pred"] == "und"
+    for text in ("12 - 34", "½ ² ①", "Ⅷ", "٣", "½ ² ① Ⅷ ٣ _"):
+        r = langid.predict(make([(1, text)]), model).first()
+        assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+    assert all(not c.isalpha() for c in langid._NUMERALS) and langid.normal("aⅧbª") == "a bª".encode()
     assert langid.predict(make([]), model).count() == 0
     nothing = langid.train(make([(1, None, "en", "s"), (2, "text", None, "s")]))
     assert langid.predict(make([(1, "text")]), nothing).first()["lang_pred"] == "und"

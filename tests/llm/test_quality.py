@@ -36,12 +36,23 @@ def test_frequent_lines_deplete(make):
     menu = " ".join(f"menu{i}" for i in range(70))
     rows = [(k, f"{menu.upper()} {k}\n{own(k)}", None, "a") for k in range(4)]
     rows += [(9, f"{menu} 7\n{own(9)}", None, "b"), (10, f"{menu} 1\n{own(10)}\n{own(11)}", None, "a")]
-    found = {r["doc_id"]: r for r in quality.judge(make(rows), max_documents=4).collect()}
+    found = {r["doc_id"]: r for r in quality.judge(make(rows), max_percent=50).collect()}
     assert not any(found[k]["kept"] or found[k]["base_failed"] for k in range(4))
     assert found[0]["n_removed"] == 71
     assert found[9]["kept"] and found[9]["n_removed"] == 0  # rare on its own host
     assert found[10]["kept"] and found[10]["n_removed"] == 71
-    assert all(r["kept"] for r in quality.judge(make(rows), max_documents=5).collect())
+    assert all(r["kept"] for r in quality.judge(make(rows), least_documents=5).collect())
+
+
+def test_the_limit_follows_the_host(make):
+    """A line in 6 of a host's documents goes while they are over a twentieth of them."""
+    letters = lambda n: "".join(chr(97 + int(c)) for c in str(n))  # noqa: E731 - digits are alike
+    own = lambda k: " ".join(f"{letters(k)}x{letters(i)}" for i in range(60))
+    for n, gone in ((119, 2), (120, 0)):
+        rows = [(k, own(k) + ("\nsite notice" if k < 6 else ""), None, "a") for k in range(n)]
+        found = quality.judge(make(rows)).collect()
+        assert [r["n_removed"] for r in sorted(found, key=lambda r: r["doc_id"])[:7]] == [gone] * 6 + [0]
+        assert all(r["kept"] for r in found)
 
 
 def test_odd_rows(make, odd):

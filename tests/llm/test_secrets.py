@@ -44,14 +44,24 @@ def test_ownership(make):
     assert kinds[0] == ["access", "copied"] and rows[0][1]["n_owners"] == 3
     assert kinds[10] == ["assign", "live"] and kinds[11] == ["assign", "live"]
     assert (rows[10][1]["start"], rows[10][1]["end"], rows[10][1]["n_repositories"]) == (8, 20, 2)
-    assert kinds[12] == ["assign"] and kinds[13] == ["assign"]
+    assert kinds[12] == ["assign"]  # a word with a number doesn't look random
+    assert kinds[13] == ["assign", "shared"] and rows[13][1]["n_owners"] == 2
+
+
+def test_repositories_count_whoever_owns_them(make):
+    key = "token = q7Wz2Kp9Rt5X"
+    for n, kind in ((3, "live"), (4, "shared"), (10, "shared"), (11, "copied")):
+        found = secrets.scan(make([(k, key, None, "one") for k in range(n)])).collect()
+        for r in found:
+            assert [s["kind"] for s in r["spans"]] == ["assign", kind]
+            assert all((s["n_owners"], s["n_repositories"]) == (1, n) for s in r["spans"])
 
 
 def test_odd_rows(make, odd):
     assert secrets.scan(make(odd, clash=True)).count() == len(odd)
     rows = [(1, "token = aB3dE5fG7h", None, None), (1, "token = aB3dE5fG7h", None, None), (None, "token = aB3dE5fG7h", None, "x")]
     found = [[s["kind"] for s in r["spans"]] for r in secrets.scan(make(rows)).collect()]
-    assert found == [["assign"], ["assign"], ["assign"]]  # two owners: neither copied nor live
+    assert found == [["assign", "shared"]] * 3  # two owners
     assert secrets.scan(make([])).count() == 0
     many = make([(1, " ".join(f"{k:024x}" for k in range(20_000)))])
     assert len(secrets.scan(many).first()["spans"]) >= 20_000
