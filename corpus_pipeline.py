@@ -15,9 +15,6 @@ from marquee.llm import decontaminate, jaccard, langid, linededup, packing
 from marquee.llm.queries import language_model, pieces, table
 from marquee.session import landed
 
-#: Below this score the best two languages fit alike: no language can be told.
-MIN_SCORE = 0.501
-
 
 def with_text(docs: DataFrame, text: F.Column, columns: list[str]) -> DataFrame:
     """``columns`` of ``docs`` with a new text and, where there is one, its n_chars; rows
@@ -28,10 +25,9 @@ def with_text(docs: DataFrame, text: F.Column, columns: list[str]) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; the rest, ``und`` or a tie, goes."""
+    """Documents that have a language; ``und`` goes. A tie of two is no fault of a text."""
     found = langid.predict(docs, language_model(docs))
-    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
