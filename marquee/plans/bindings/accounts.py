@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee import streaming
 from marquee.operators import details, ratings, users
 from marquee.plans.bindings.registry import Tables, query
 from marquee.session import scratch_path
@@ -173,6 +174,35 @@ def current_ratings(t: Tables) -> DataFrame:
     return ratings.current(ratings.explode_submissions(submissions(t))).drop("ts")
 
 
+def arrived(t: Tables, copies: int, files_per_trigger: int) -> tuple[DataFrame, str]:
+    """Submissions as a stream of files, each ``copies`` times, and a folder for its state."""
+    folder = scratch_path(t.spark, "stream")
+    sent = submissions(t).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    spread = F.md5(F.concat_ws("|", "username", "movie_id", "ts", "copy"))
+    sent.repartition(8, spread).drop("copy").write.parquet(f"{folder}/inbox")
+    stream = streaming.submissions(t.spark, f"{folder}/inbox", files_per_trigger, "parquet")
+    return stream, folder
+
+
+@query(f"WITH {SUBMISSIONS_SQL} SELECT user_id, item_id, rating FROM latest")
+def stream_current_ratings(t: Tables) -> DataFrame:
+    """The table of current ratings, kept by a stream in several batches."""
+    stream, folder = arrived(t, copies=1, files_per_trigger=3)
+    table = streaming.RatingTable(t.spark, f"{folder}/table", buckets=8)
+    streaming.keep_current(stream, table, f"{folder}/progress").awaitTermination()
+    return table.read().drop("ts")
+
+
+@query(f"WITH {SUBMISSIONS_SQL} SELECT user_id, item_id, rating FROM rate_events")
+def stream_unique_log(t: Tables) -> DataFrame:
+    """The rating log of submissions that each arrive twice, out of order."""
+    stream, folder = arrived(t, copies=2, files_per_trigger=3)
+    once = streaming.unique(stream, "36500 days")
+    log, progress = f"{folder}/log", f"{folder}/progress"
+    streaming.rating_log(once, log, progress).awaitTermination()
+    return t.spark.read.parquet(log).select("user_id", "item_id", "rating")
+
+
 @query(f"WITH {SUBMISSIONS_SQL} SELECT user_id, item_id FROM watched")
 def watchlist(t: Tables) -> DataFrame:
     return ratings.watchlist(submissions(t)).drop("ts")

@@ -9,12 +9,15 @@ from marquee.operators import ratings
 from marquee.sources import schemas
 
 
-def submissions(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
-    """Submissions landed as JSON lines, read as they appear."""
+def submissions(
+    spark: SparkSession, path: str, files_per_trigger: int = 1000, kind: str = "json"
+) -> DataFrame:
+    """Submissions landed as JSON lines (or files of another ``kind``), read as they appear."""
     return (
         spark.readStream.schema(schemas.SUBMISSIONS)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .json(path)
+        .format(kind)
+        .load(path)
     )
 
 
