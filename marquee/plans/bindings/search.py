@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import fold_text
+from marquee.operators import facets as panel
 from marquee.operators import recommend, search
 from marquee.plans.bindings.registry import Tables, query
+from marquee.session import landed
 
 
 def parts(t: Tables) -> DataFrame:
@@ -126,6 +128,30 @@ def filter_search(t: Tables) -> DataFrame:
     return found.select("id", "n_found")
 
 
+FACETS = ["genres", "actor_actress", "producer", "startYear", "original_language"]
+
+
+@query(
+    """
+WITH f AS (
+  SELECT DISTINCT p_partkey, 'genres' AS facet, unnest(string_split(p_name, ' ')) AS value FROM part
+  UNION ALL SELECT p_partkey, 'actor_actress', p_brand FROM part
+  UNION ALL SELECT p_partkey, 'producer', p_type FROM part WHERE p_size > 2
+  UNION ALL SELECT p_partkey, 'startYear', CAST(p_size AS VARCHAR) FROM part
+  UNION ALL SELECT p_partkey, 'original_language', lower(p_type) FROM part)
+SELECT facet, value, count(CASE WHEN (facet = 'original_language' OR lower(p_type) = 'promo')
+    AND (facet = 'actor_actress' OR p_brand = 'Brand#7') THEN 1 END) AS n
+FROM f JOIN part USING (p_partkey) GROUP BY facet, value
+"""
+)
+def facet_counts(t: Tables) -> DataFrame:
+    """Films that each value would leave, beside the choice of a language and an actor."""
+    index = landed(panel.bitmap_index(parts(t), FACETS), "facet-bitmaps")
+    return panel.facet_counts(
+        index, {"original_language": "promo", "actor_actress": "Brand#7", "startYear": None}
+    )
+
+
 @query(
     """
 SELECT DISTINCT 'genres' AS facet, unnest(string_split(p_name, ' ')) AS value FROM part
@@ -137,12 +163,11 @@ UNION ALL SELECT DISTINCT 'original_language', lower(p_type) FROM part
 )
 def facets(t: Tables) -> DataFrame:
     films = parts(t)
-    columns = ["genres", "actor_actress", "producer", "startYear", "original_language"]
     lists = [
         search.facet_values(films, c, in_order=False).select(
             F.lit(c).alias("facet"), F.col("value").cast("string").alias("value")
         )
-        for c in columns
+        for c in FACETS
     ]
     out = lists[0]
     for other in lists[1:]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marquee import functions as fn
 from marquee.operators import profile, stats
 from marquee.plans.bindings.registry import Tables, query
+from marquee.session import landed
 from marquee.plans.bindings.search import parts
 from marquee.sources import preview
 
@@ -153,3 +154,21 @@ def preview_random(t: Tables) -> DataFrame:
 @query("SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 5")
 def preview_head(t: Tables) -> DataFrame:
     return preview(t.events, 5, keys=["event_id"]).select("event_id", "user_id", "event_type")
+
+
+@query()
+def distinct_estimates(t: Tables) -> DataFrame:
+    """Distinct orders, customers and clerks' priorities by sketches of each month, beside
+    the exact counts."""
+    orders = t.orders.select(
+        F.date_trunc("month", "o_orderdate").alias("month"),
+        *[F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey", "o_orderpriority")],
+    )
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    stored = landed(stats.distinct_sketches(orders, "month", columns), "sketches")
+    exact = orders.agg(
+        F.array(
+            *[F.struct(F.lit(c).alias("column"), F.countDistinct(c).alias("exact")) for c in columns]
+        ).alias("all")
+    ).select(F.inline("all"))
+    return stats.distinct_estimates(stored).join(exact, "column")
