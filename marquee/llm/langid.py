@@ -31,15 +31,19 @@ UNKNOWN = "und"
 
 #: Numerals that are no decimal digits, such as fractions and Roman numerals, count as word
 #: characters but are no letters.
-_NUMERALS = "".join(
+_NUMERALS = frozenset(
     c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()
 )
-_OTHER = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def normal(text: str) -> bytes:
     """Lower-case letters, every stretch of other characters one space."""
-    return _OTHER.sub(" ", text.lower()).strip().encode()
+    text = text.lower()
+    if not text.isascii() and not _NUMERALS.isdisjoint(text):
+        # Few texts have any: a pattern of all of them would slow down every text.
+        text = text.translate(dict.fromkeys(map(ord, _NUMERALS.intersection(text)), " "))
+    return _OTHER.sub(" ", text).strip().encode()
 
 
 def suffix_automaton(text: np.ndarray, symbols: int) -> np.ndarray:
