@@ -233,3 +233,42 @@ def test_surprise_documentary(spark):
     for theme, films_ in wanted.items():
         assert len(drawn[theme]) == 200 and set(drawn[theme]) == films_
         assert min(drawn[theme].count(f) for f in films_) > 200 / len(films_) * 0.6
+
+
+def test_a_block_gives_only_items_that_reach_the_least_score(spark):
+    """Ties with it stay, a query without one gets its best, and clipped scores count."""
+    left = spark.createDataFrame(
+        [(1, [1.0], 0, 3.0, 0, 0), (2, [1.0], 1, None, 0, 0), (3, [1.0], 0, 9.0, 0, 0)],
+        "q int, qv array<double>, more bigint, least double, qb int, ib int",
+    )
+    right = spark.createDataFrame(
+        [(i, [float(i)], 0, 0) for i in range(1, 6)], "i int, iv array<double>, qb int, ib int"
+    )
+
+    def met(clip):
+        return sorted((r["q"], r["i"], r["score"]) for r in factors._met(left, right, 4, clip).collect())
+
+    every = [(2, i, float(i)) for i in range(1, 6)]
+    assert met(None) == [(1, i, float(i)) for i in (3, 4, 5)] + every
+    clipped = [(q, i, min(x, 4.0)) for q, i, x in every]
+    assert met((0.5, 4.0)) == [(1, i, min(float(i), 4.0)) for i in (3, 4, 5)] + clipped
+
+
+def test_profiles_are_averaged_after_the_shuffle(spark, monkeypatch):
+    """No sums for each dimension are shuffled, with vectors small or large."""
+    rng = np.random.default_rng(4)
+    items = {i: rng.normal(size=3) for i in range(8)}
+    rated = [(u, i, float(1 + (u + i) % 5)) for u in range(9) for i in range(10) if (u * i) % 3]
+    ratings = spark.createDataFrame(rated, "user_id int, item_id int, rating double")
+    want = {
+        u: np.mean([items[i] * r / 5 for v, i, r in rated if v == u and i in items], axis=0)
+        for u in {u for u, i, _ in rated if i in items}
+    }
+    for limit in (factors.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(factors, "BROADCAST_BYTES", limit)
+        found = factors.profiles(vectors(spark, items, "item_id"), ratings, 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("partial_avg") < plan.index("Exchange hashpartitioning(user_id")
+        got = {r["user_id"]: r["features"] for r in found.collect()}
+        assert got.keys() == want.keys()
+        assert all(np.allclose(got[u], want[u]) for u in want)
