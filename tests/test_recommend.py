@@ -272,3 +272,14 @@ def test_profiles_are_averaged_after_the_shuffle(spark, monkeypatch):
         got = {r["user_id"]: r["features"] for r in found.collect()}
         assert got.keys() == want.keys()
         assert all(np.allclose(got[u], want[u]) for u in want)
+
+
+def test_biases_of_items_are_computed_once(spark):
+    ratings = spark.createDataFrame(
+        [(1, 1, 4.0), (1, 2, 2.0), (2, 1, 3.0)], "user_id int, item_id int, rating double"
+    )
+    items, users = factors.rating_biases(ratings)
+    assert any("item-bias" in f for f in users.inputFiles())
+    assert {r["item_id"]: round(r["item_bias"], 6) for r in items.collect()} == {
+        1: round(1 / 7, 6), 2: round(-1 / 6, 6),
+    }
