@@ -11,6 +11,11 @@ from marquee.operators.titles import first_per_key
 from marquee.sizing import settle
 
 
+#: Bytes of search keys in a partition. A task sorts all matches of its titles, some hundred
+#: times as many bytes, so partitions grow in number and not in size.
+PART_BYTES = 1 << 20
+
+
 def list_contains(column: str, value: str) -> Column:
     """Whether a list holds ``value``; a list with nulls or a null list gives false."""
     return F.coalesce(F.array_contains(column, value), F.lit(False))
@@ -81,6 +86,28 @@ def _grams(key: Column, size: int) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.substring(key, i, F.lit(size))))
 
 
+def _spread(entries: DataFrame) -> DataFrame:
+    """``entries`` dealt to partitions whose number follows the size of their keys, however
+    few files or row groups they are read from."""
+    row = entries.agg(F.sum(F.octet_length("key").cast("bigint")).alias("n")).first()
+    return entries.repartition(max(1, -(-(row["n"] or 0) // PART_BYTES)), "row_order", "title")
+
+
+def _indexed(entries: DataFrame, gram_size: int) -> DataFrame:
+    """A row for each distinct gram of 1 to ``gram_size`` characters of each key."""
+    return entries.withColumn(
+        "gram",
+        F.explode_outer(
+            F.concat(
+                *[
+                    F.coalesce(_grams(F.col("key"), size), F.array().cast("array<string>"))
+                    for size in range(1, gram_size + 1)
+                ]
+            )
+        ),
+    ).filter(F.col("gram").isNotNull())
+
+
 def _probe_grams(queries: DataFrame, titles: DataFrame, gram_size: int) -> DataFrame:
     """The rarest gram of every query.
 
@@ -123,7 +150,8 @@ def title_search(
     ``queries`` has ``query_id`` and ``query``. Exact matches come in catalogue order
     (``row_order``), the other tiers by title. A query without letters or digits finds
     nothing. Candidates come from an equi-join on character grams, so no query is ever
-    compared with the whole catalogue.
+    compared with the whole catalogue. The matches of ``PART_BYTES`` of keys are sorted in
+    a task, which keeps ``limit`` of each query.
     """
     asked = queries.select(
         "query_id", fold_text(F.col("query")).alias("q_key")
@@ -131,25 +159,17 @@ def title_search(
     entries = catalog.select(
         F.col(row_order).alias("row_order"), F.col(title).alias("title"), F.col(key).alias("key")
     )
-    indexed = entries.withColumn(
-        "gram",
-        F.explode_outer(
-            F.concat(
-                *[
-                    F.coalesce(_grams(F.col("key"), size), F.array().cast("array<string>"))
-                    for size in range(1, gram_size + 1)
-                ]
-            )
-        ),
-    ).filter(F.col("gram").isNotNull())
-    probes = settle(asked.join(_probe_grams(asked, indexed, gram_size), "query_id"), "probes")
+    probes = settle(
+        asked.join(_probe_grams(asked, _indexed(entries, gram_size), gram_size), "query_id"), "probes"
+    )
     tier = (
         F.when(F.col("key") == F.col("q_key"), 1)
         .when(F.col("key").startswith(F.col("q_key")), 2)
         .when(F.col("key").contains(F.col("q_key")), 3)
     )
     matches = (
-        indexed.join(probes, "gram")
+        _indexed(_spread(entries), gram_size)
+        .join(probes, "gram")
         .withColumn("tier", tier)
         .filter(F.col("tier").isNotNull())
     )

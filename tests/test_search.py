@@ -101,6 +101,23 @@ def test_title_search_with_shuffled_join(spark, monkeypatch):
     assert sorted(search.title_search(films(spark), queries).collect()) == sorted(usual)
 
 
+def test_matches_are_sorted_in_partitions_that_follow_the_catalogue(spark, monkeypatch):
+    monkeypatch.setattr(search, "PART_BYTES", 1000)
+    queries = spark.createDataFrame([("q", "zone"), ("n", "zone 39")], "query_id string, query string")
+    for n in (500, 1000):
+        key = F.concat(F.lit("zone "), F.lpad(F.col("id").cast("string"), 5, "0"))
+        catalog = spark.range(n).coalesce(1).select(
+            F.col("id").alias("row_order"), key.alias("title_final"), key.alias("title_search")
+        )
+        entries = catalog.toDF("row_order", "title", "key")
+        sizes = search._spread(entries).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 250 and sum(r["count"] for r in sizes) == n
+        found = search.title_search(catalog, queries)
+        assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+        assert [r["row_order"] for r in found.orderBy("position").collect()] == list(range(20))
+    assert search._spread(entries.filter("false")).count() == 0
+
+
 def test_lookup_title_takes_first(spark):
     queries = spark.createDataFrame([("q", " ALIEN "), ("n", "none")], "query_id string, query string")
     got = search.lookup_title(films(spark), queries).collect()
